@@ -24,6 +24,8 @@ def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
                .option("header", True)
                .option("multiLine", True)
                .option("escape", '"')
+               .option("ignoreLeadingWhiteSpace", False)
+               .option("ignoreTrailingWhiteSpace", False)
                .option("mode", "PERMISSIVE")
                .option("columnNameOfCorruptRecord", _CORRUPT)
                .csv(path))
@@ -32,8 +34,11 @@ def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_orders_csv(raw: DataFrame, path: str) -> None:
-    raw.select(*RAW_ORDERS.fieldNames()).write.mode("overwrite").option("header", True) \
-       .option("escape", '"').csv(path)
+    """Write a raw feed as header CSV, keeping surrounding spaces (Spark trims by default)."""
+    (raw.select(*RAW_ORDERS.fieldNames()).write.mode("overwrite")
+        .option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path))
 
 
 def read_cart_items_csv(spark: SparkSession, path: str) -> DataFrame:
