@@ -95,3 +95,54 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("tb_suppkey"),
         F.col("l_extendedprice").alias("tb_price"),
     )
+
+
+# Labels given to the driver's events when they become order events.
+EVENT_CATEGORIES = ["Electronics", "Home", "Fashion", "Beauty", "Sports", "Books"]
+EVENT_REGIONS = ["North", "South", "East", "West", "Central"]
+
+
+def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON order-event payload per row of ``events``.
+
+    event_id -> UUID-shaped id, ts -> event_time (UTC), user_id -> customer,
+    props.k -> quantity (0 occurs and must be refused), value -> unit price,
+    event_type -> sales channel with doubled inner spaces (normalised away),
+    every third region padded with spaces, no discount field when
+    event_id % 5 = 0 (the model's default 0 applies), and the 'error' events
+    with event_id % 50 = 0 sent as truncated JSON (dead letters).
+    """
+    ev = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    region = F.element_at(F.array(*[F.lit(r) for r in EVENT_REGIONS]), (eid % 5 + 1).cast("int"))
+    fields = F.struct(
+        F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(eid.cast("string"), 12, "0")).alias("event_id"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("event_time"),
+        F.concat(F.lit("EV-"), eid.cast("string")).alias("order_id"),
+        F.concat(F.lit("C"), F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("customer_id"),
+        F.concat(F.lit("P"), F.lpad((eid % 48 + 1).cast("string"), 3, "0")).alias("product_id"),
+        F.element_at(F.array(*[F.lit(c) for c in EVENT_CATEGORIES]),
+                     (F.col("user_id") % 6 + 1).cast("int")).alias("category"),
+        F.get_json_object("props", "$.k").cast("int").alias("quantity"),
+        F.col("value").alias("unit_price"),
+        F.when(eid % 5 != 0, ((eid % 5) * 5).cast("decimal(3,0)") / F.lit(100).cast("decimal(3,0)"))
+         .cast("decimal(3,2)").alias("discount_pct"),
+        F.when(eid % 3 == 0, F.concat(F.lit("  "), region, F.lit(" "))).otherwise(region).alias("region"),
+        F.concat(F.col("event_type"), F.lit("  app")).alias("sales_channel"),
+    )
+    broken = (F.col("event_type") == "error") & (eid % 50 == 0)
+    payload = F.when(broken, F.concat(F.lit('{"broken": '), eid.cast("string"))).otherwise(F.to_json(fields))
+    return ev.select(eid.alias("source_event_id"), payload.alias("payload"))
+
+
+def land_event_files(spark: SparkSession, sf_dir: str, root: str, files: int = 4) -> str:
+    """Write every payload as NDJSON in ``files`` files, then all of them again.
+
+    The second copy is a full redelivery (at-least-once), so every valid
+    event arrives twice and must be stored once. Returns the glob to stream.
+    """
+    payloads = event_payloads(spark, sf_dir)
+    for copy in ("a-first", "b-replay"):
+        (payloads.repartitionByRange(files, "source_event_id").select("payload")
+                 .write.mode("overwrite").text(f"{root}/{copy}"))
+    return f"{root}/*"
