@@ -49,3 +49,13 @@ def read_cart_items_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_sales_parquet(spark: SparkSession, path: str) -> DataFrame:
     """S3: the year/month partitioned export; filters on year/month prune folders."""
     return spark.read.parquet(path)
+
+
+def read_snapshots(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Landed snapshot documents with the declared nested schema.
+
+    NDJSON (one document per line) splits across tasks; ``multi_line`` reads
+    pretty-printed files, one document per file.
+    """
+    from orderloom.schemas import SNAPSHOT
+    return spark.read.schema(SNAPSHOT).option("multiLine", multi_line).json(path)

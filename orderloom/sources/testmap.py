@@ -146,3 +146,71 @@ def land_event_files(spark: SparkSession, sf_dir: str, root: str, files: int = 4
         (payloads.repartitionByRange(files, "source_event_id").select("payload")
                  .write.mode("overwrite").text(f"{root}/{copy}"))
     return f"{root}/*"
+
+
+# Orders per snapshot document: keeps every nested list bounded (carts per
+# document by this, items per cart by the 7-line TPC-H order limit).
+SNAPSHOT_ORDERS_PER_DOC = 500
+
+
+def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested snapshot documents built from orders, lineitem and part.
+
+    Document d holds the orders with o_orderkey div 500 = d as carts (items =
+    their lines) and, as products, the parts its items use except those with
+    p_partkey % 7 = 0 (absent -> 'unknown' fallbacks); parts with
+    p_partkey % 5 = 0 are listed twice, a stale brand first, so the last
+    listing must win. Items with l_linenumber % 3 = 0 carry no title (the
+    product's title applies); odd lines give discountedPrice instead of
+    discountedTotal.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+                                                 "l_discount")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
+    doc = (F.col("l_orderkey") / SNAPSHOT_ORDERS_PER_DOC).cast("bigint")
+    lines = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+               .join(part, li.l_partkey == part.p_partkey)
+               .withColumn("doc", doc))
+    total = F.col("p_retailprice") * F.col("l_quantity")
+    item = F.struct(
+        F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("id"),
+        F.when(F.col("l_linenumber") % 3 != 0, F.col("p_name")).alias("title"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.col("p_retailprice").alias("price"),
+        (F.col("l_discount") * 100).alias("discountPercentage"),
+        total.alias("total"),
+        F.when(F.col("l_linenumber") % 2 == 0, total * (F.lit(1) - F.col("l_discount"))).alias("discountedTotal"),
+        F.when(F.col("l_linenumber") % 2 != 0, total * (F.lit(1) - F.col("l_discount"))).alias("discountedPrice"),
+    )
+    carts = (lines.groupBy("doc", "l_orderkey", "o_custkey")
+                  .agg(F.sort_array(F.collect_list(item)).alias("items"))
+                  .select("doc", F.struct(F.col("l_orderkey").alias("id"), F.col("o_custkey").alias("userId"),
+                                          F.transform("items", lambda i: i.dropFields("line")).alias("products"))
+                          .alias("cart"))
+                  .groupBy("doc").agg(F.sort_array(F.collect_list("cart")).alias("carts")))
+    listed = lines.filter(F.col("p_partkey") % 7 != 0).select("doc", "p_partkey", "p_name", "p_type", "p_brand") \
+                  .distinct()
+    entry = lambda seq, brand: F.struct(F.col("p_partkey").alias("id"), F.lit(seq).alias("seq"),
+                                        F.col("p_name").alias("title"), F.lower("p_type").alias("category"),
+                                        brand.alias("brand"))
+    stale = listed.filter(F.col("p_partkey") % 5 == 0).select(
+        "doc", entry(0, F.concat(F.lit("OLD-"), F.col("p_brand"))).alias("p"))
+    current = listed.select("doc", entry(1, F.col("p_brand")).alias("p"))
+    products = (stale.unionByName(current).groupBy("doc")
+                     .agg(F.sort_array(F.collect_list("p")).alias("ps"))
+                     .select("doc", F.transform("ps", lambda p: p.dropFields("seq")).alias("products")))
+    observed = F.date_format(F.timestamp_seconds(F.lit(1767225600) + F.col("doc") * 3600), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    return (carts.join(products, "doc", "left")
+                 .select(observed.alias("observed_at_utc"),
+                         F.struct(F.coalesce("products", F.array().cast("array<struct<id:bigint,title:string,"
+                                                                       "category:string,brand:string>>"))
+                                  .alias("products")).alias("products"),
+                         F.struct(F.col("carts").alias("carts")).alias("carts")))
+
+
+def land_snapshots(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Write the snapshot documents as NDJSON (one document per line)."""
+    snapshot_documents(spark, sf_dir).write.mode("overwrite").json(path)
+    return path
