@@ -90,10 +90,12 @@ def money_round(c: str | Column) -> Column:
 def exact_sum(c: str | Column) -> Column:
     """SUM of cent amounts, exact and independent of row order.
 
-    Each value is already rounded to cents, so summing as DECIMAL(18,2) is
-    exact; the total goes back to DOUBLE.
+    Each value is already rounded to cents, so it is summed as a BIGINT count
+    of cents (exact, and a fixed-width hash-aggregate buffer, unlike a wide
+    DECIMAL); cents / 100.0 is the DOUBLE nearest the exact total, the same
+    value a DECIMAL sum cast to DOUBLE gives.
     """
-    return F.sum(col_(c).cast("decimal(18,2)")).cast("double")
+    return F.sum(F.round(col_(c) * F.lit(100.0)).try_cast("bigint")) / F.lit(100.0)
 
 
 def realized(status: str | Column = "order_status") -> Column:
