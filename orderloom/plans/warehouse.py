@@ -153,3 +153,33 @@ class StoredWarehouse:
         report = quality.quality_report(self.stg_orders, self.stg_orders, self.fact_sales,
                                         self.rejected_orders, self.dim_customer, self.dim_product)
         return report.withColumn("raw_rows", raw_rows.agg(F.sum("raw_rows").cast("long")).scalar())
+
+
+def register_views(wh: "Warehouse | StoredWarehouse", prefix: str = "") -> list[str]:
+    """Register the reference's table and view names as temp views for ``spark.sql``.
+
+    Tables: stg_orders, rejected_orders, dim_product, dim_customer, dim_date,
+    fact_sales. Views: vw_sales_enriched, vw_daily_revenue, vw_monthly_growth,
+    vw_repeat_customer_pct. All stay lazy; SQL over them is planned by Catalyst
+    together with the view bodies.
+    """
+    from orderloom.plans import views
+
+    sales = wh.sales_enriched
+    frames = {
+        "stg_orders": wh.stg_orders,
+        "rejected_orders": wh.rejected_orders,
+        "dim_product": wh.dim_product,
+        "dim_customer": wh.dim_customer,
+        "dim_date": wh.dim_date,
+        "fact_sales": wh.fact_sales,
+        "vw_sales_enriched": sales,
+        "vw_daily_revenue": views.daily_revenue(sales),
+        "vw_monthly_growth": views.monthly_growth(sales),
+        "vw_repeat_customer_pct": views.repeat_customer_pct(sales),
+    }
+    names = []
+    for name, df in frames.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

@@ -90,3 +90,17 @@ def test_stage_orders_keeps_declared_schema(spark):
     from orderloom.schemas import STG_ORDERS
     stg = stage_orders(_raw_rows(spark, [_line("L1")]))
     assert [(f.name, f.dataType) for f in stg.schema.fields] == [(f.name, f.dataType) for f in STG_ORDERS.fields]
+
+
+def test_reference_names_work_in_spark_sql(spark):
+    from orderloom.plans.warehouse import register_views
+    w = Warehouse(testmap.raw_orders(spark, SF_SMALL), order_by=testmap.TIE_BREAK)
+    register_views(w)
+    got = spark.sql("""
+        SELECT region, category, SUM(net_revenue) AS revenue
+        FROM vw_sales_enriched WHERE order_status IN ('Delivered', 'Shipped')
+        GROUP BY 1, 2""").count()
+    assert got == 30
+    assert spark.sql("SELECT * FROM vw_repeat_customer_pct").count() == 1
+    assert spark.sql("SELECT COUNT(*) FROM fact_sales f JOIN dim_customer c USING (customer_key)").first()[0] \
+        == w.accepted_orders.count()
