@@ -40,9 +40,12 @@ class OrderEventSink:
     ``clock`` gives ``received_at`` (default: the batch's current time).
     """
 
-    def __init__(self, root: str, clock=None):
+    def __init__(self, root: str, clock=None, history: bool = True):
         self.root = root.rstrip("/")
         self.clock = clock
+        # history=False: the stream was already de-duplicated within a
+        # watermark (``dedupe_within_watermark``); skip the probe of stored ids
+        self.history = history
 
     @property
     def events_path(self) -> str:
@@ -87,7 +90,7 @@ class OrderEventSink:
 
         valid = checked.filter(F.col("is_valid")).select(*EVENT_COLUMNS, "received_at", "arrival")
         winners = dedupe_by_key(valid, "event_id", ["arrival"])
-        earlier = self.stored_ids(spark, batch_id)
+        earlier = self.stored_ids(spark, batch_id) if self.history else None
         if earlier is not None:
             batch_ids = bounded_broadcast(winners.select("event_id"), BATCH_BROADCAST_ROWS)
             already = earlier.join(batch_ids, "event_id", "left_semi")
@@ -119,14 +122,34 @@ def with_arrival(stream: DataFrame) -> DataFrame:
                  F.xxhash64("value").alias("h")).alias("arrival"))
 
 
+def dedupe_within_watermark(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Bounded-state alternative to the history probe.
+
+    Keeps the first copy of each event id seen within ``delay`` of event
+    time; state is dropped as the watermark passes, so it stays bounded. The
+    semantics change: a copy arriving later than ``delay`` after the newest
+    event time is dropped as late rather than compared with stored rows, and
+    an event without a time (default: now) is keyed by its arrival.
+    """
+    checked = validate(stream, "payload")
+    return (checked.withWatermark("event_time", delay)
+                   .dropDuplicatesWithinWatermark(["event_id"])
+                   .select("payload", "arrival"))
+
+
 def run_file_stream(spark: SparkSession, source_dir: str, root: str, checkpoint: str,
-                    files_per_trigger: int = 1, clock=None) -> OrderEventSink:
-    """Ingest every NDJSON file under ``source_dir`` (available-now trigger)."""
-    sink = OrderEventSink(root, clock=clock)
-    stream = (spark.readStream.format("text")
-                   .option("maxFilesPerTrigger", files_per_trigger)
-                   .load(source_dir))
-    query = (with_arrival(stream).writeStream
+                    files_per_trigger: int = 1, clock=None, watermark: str | None = None) -> OrderEventSink:
+    """Ingest every NDJSON file under ``source_dir`` (available-now trigger).
+
+    ``watermark`` (e.g. "1 hour") switches to the bounded-state de-duplication.
+    """
+    sink = OrderEventSink(root, clock=clock, history=watermark is None)
+    stream = with_arrival(spark.readStream.format("text")
+                               .option("maxFilesPerTrigger", files_per_trigger)
+                               .load(source_dir))
+    if watermark is not None:
+        stream = dedupe_within_watermark(stream, watermark)
+    query = (stream.writeStream
                                  .foreachBatch(sink)
                                  .option("checkpointLocation", checkpoint)
                                  .trigger(availableNow=True)

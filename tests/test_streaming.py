@@ -133,3 +133,16 @@ def test_file_stream_restart_from_checkpoint(spark):
     stored = spark.read.parquet(f"{root}/store/order_events")
     assert sorted(r.order_id for r in stored.collect()) == ["LIVE-TEST-001", "LIVE-TEST-002"]
     assert events_by_minute(stored).first().event_count == 2
+
+
+def test_bounded_watermark_mode_stores_each_event_once(spark):
+    root = _scratch()
+    landing = os.path.join(root, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "001.json"), "w") as f:
+        f.write("\n".join(json.dumps(e) for e in [EVENT_A, EVENT_B, EVENT_A]) + "\n")
+    with open(os.path.join(landing, "002.json"), "w") as f:
+        f.write(json.dumps(EVENT_B) + "\n")
+    run_file_stream(spark, landing, f"{root}/store", f"{root}/ckpt", files_per_trigger=1, watermark="1 hour")
+    stored = spark.read.parquet(f"{root}/store/order_events")
+    assert sorted(r.order_id for r in stored.collect()) == ["LIVE-TEST-001", "LIVE-TEST-002"]
