@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from orderloom.functions import exact_sum, money_round, realized, realized_revenue, return_rate
 from orderloom.plans import olap, views
+from orderloom.plans.reports import small_report
 
 
 def category_revenue(sales: DataFrame) -> DataFrame:
     """Realized lines only: revenue and distinct orders per category, revenue desc."""
-    return (sales.filter(realized())
-                 .groupBy("category")
-                 .agg(money_round(exact_sum("net_revenue")).alias("revenue"),
-                      F.count_distinct("order_id").alias("orders"))
-                 .orderBy(F.desc("revenue"), F.asc_nulls_last("category")))
+    out = (sales.filter(realized())
+                .groupBy("category")
+                .agg(money_round(exact_sum("net_revenue")).alias("revenue"),
+                      F.count_distinct("order_id").alias("orders")))
+    return small_report(out, F.desc("revenue"), F.asc_nulls_last("category"))
 
 
 def region_top_customers(sales: DataFrame, top: int = 5) -> DataFrame:
@@ -29,27 +30,28 @@ def region_top_customers(sales: DataFrame, top: int = 5) -> DataFrame:
                          .groupBy("region", "customer_id")
                          .agg(exact_sum("net_revenue").alias("revenue")))
     rank = F.dense_rank().over(Window.partitionBy("region").orderBy(F.desc("revenue")))
-    return (per_customer.withColumn("regional_rank", rank)
-                        .filter(F.col("regional_rank") <= top)
-                        .select("region", "customer_id", money_round("revenue").alias("revenue"),
-                                F.col("regional_rank").cast("bigint").alias("regional_rank"))
-                        .orderBy("region", "regional_rank", "customer_id"))
+    out = (per_customer.withColumn("regional_rank", rank)
+                       .filter(F.col("regional_rank") <= top)
+                       .select("region", "customer_id", money_round("revenue").alias("revenue"),
+                               F.col("regional_rank").cast("bigint").alias("regional_rank")))
+    # regions x top ranks: a bounded result
+    return small_report(out, "region", "regional_rank", "customer_id")
 
 
 def category_performance(sales: DataFrame) -> DataFrame:
     """All accepted lines: realized revenue, distinct orders, line return rate %."""
-    return (sales.groupBy("category")
-                 .agg(money_round(realized_revenue()).alias("revenue"),
-                      F.count_distinct("order_id").alias("orders"),
-                      money_round(return_rate()).alias("return_rate_pct"))
-                 .orderBy(F.desc("revenue"), F.asc_nulls_last("category")))
+    out = (sales.groupBy("category")
+                .agg(money_round(realized_revenue()).alias("revenue"),
+                     F.count_distinct("order_id").alias("orders"),
+                     money_round(return_rate()).alias("return_rate_pct")))
+    return small_report(out, F.desc("revenue"), F.asc_nulls_last("category"))
 
 
 def region_performance(sales: DataFrame) -> DataFrame:
-    return (sales.groupBy("region")
-                 .agg(money_round(realized_revenue()).alias("revenue"),
-                      F.count_distinct("order_id").alias("orders"))
-                 .orderBy(F.desc("revenue"), F.asc_nulls_last("region")))
+    out = (sales.groupBy("region")
+                .agg(money_round(realized_revenue()).alias("revenue"),
+                     F.count_distinct("order_id").alias("orders")))
+    return small_report(out, F.desc("revenue"), F.asc_nulls_last("region"))
 
 
 def top_customers(sales: DataFrame, n: int = 20) -> DataFrame:
@@ -68,7 +70,7 @@ def top_customers(sales: DataFrame, n: int = 20) -> DataFrame:
     return (best.withColumn("revenue_rank", rank.cast("bigint"))
                 .select("customer_id", "customer_segment", "region",
                         money_round("revenue_exact").alias("revenue"), "orders", "revenue_rank")
-                .orderBy("revenue_rank", "customer_id"))
+                .sortWithinPartitions("revenue_rank", "customer_id"))
 
 
 def category_sum(sales: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import exact_sum, money_round, realized, realized_revenue
+from orderloom.plans.reports import small_report
 
 
 def _realized(sales: DataFrame) -> DataFrame:
@@ -19,18 +20,17 @@ def _realized(sales: DataFrame) -> DataFrame:
 
 def rollup_region_category(sales: DataFrame) -> DataFrame:
     """Category subtotals by region plus a grand total, NULLs last."""
-    return (_realized(sales).rollup("region", "category")
-                            .agg(money_round(exact_sum("net_revenue")).alias("revenue"))
-                            .orderBy(F.asc_nulls_last("region"), F.asc_nulls_last("category")))
+    out = _realized(sales).rollup("region", "category").agg(money_round(exact_sum("net_revenue")).alias("revenue"))
+    return small_report(out, F.asc_nulls_last("region"), F.asc_nulls_last("category"))
 
 
 def cube_region_channel(sales: DataFrame) -> DataFrame:
     """All region x channel combinations with GROUPING() flags."""
-    return (_realized(sales).cube("region", "sales_channel")
-                            .agg(money_round(exact_sum("net_revenue")).alias("revenue"),
-                                 F.grouping("region").cast("bigint").alias("all_regions"),
-                                 F.grouping("sales_channel").cast("bigint").alias("all_channels"))
-                            .orderBy("all_regions", "all_channels", F.desc("revenue")))
+    out = (_realized(sales).cube("region", "sales_channel")
+                           .agg(money_round(exact_sum("net_revenue")).alias("revenue"),
+                                F.grouping("region").cast("bigint").alias("all_regions"),
+                                F.grouping("sales_channel").cast("bigint").alias("all_channels")))
+    return small_report(out, "all_regions", "all_channels", F.desc("revenue"))
 
 
 _SETS = [["region", "category"], ["region"], ["category"], []]
@@ -53,8 +53,8 @@ def grouping_sets_labeled(sales: DataFrame) -> DataFrame:
         F.grouping("region").cast("bigint").alias("region_total"),
         F.grouping("category").cast("bigint").alias("category_total"),
     )
-    return (agg.select(
-                F.when(F.col("region_total") == 1, F.lit("ALL REGIONS")).otherwise(F.col("region")).alias("region"),
-                F.when(F.col("category_total") == 1, F.lit("ALL CATEGORIES")).otherwise(F.col("category")).alias("category"),
-                "revenue", "region_total", "category_total")
-               .orderBy("region_total", "category_total", F.desc("revenue")))
+    out = agg.select(
+        F.when(F.col("region_total") == 1, F.lit("ALL REGIONS")).otherwise(F.col("region")).alias("region"),
+        F.when(F.col("category_total") == 1, F.lit("ALL CATEGORIES")).otherwise(F.col("category")).alias("category"),
+        "revenue", "region_total", "category_total")
+    return small_report(out, "region_total", "category_total", F.desc("revenue"))

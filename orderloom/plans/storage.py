@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import exact_sum, money_round, realized, sentence_case, try_double, try_integer
+from orderloom.plans.reports import small_report
 
 # Lower-case realized statuses as the raw query matches them.
 _RAW_REALIZED = ("delivered", "shipped")
@@ -28,7 +29,7 @@ def raw_region_category(raw: DataFrame) -> DataFrame:
     return (raw.filter(keep)
                .groupBy(F.upper(F.trim("region")).alias("region"), sentence_case("category").alias("category"))
                .agg(money_round(F.sum(q * p * (F.lit(1) - d / F.lit(100.0)))).alias("revenue"))
-               .orderBy(F.desc("revenue")))
+               .transform(lambda df: small_report(df, F.desc("revenue"))))
 
 
 def region_category_revenue(sales: DataFrame) -> DataFrame:
@@ -36,4 +37,4 @@ def region_category_revenue(sales: DataFrame) -> DataFrame:
     return (sales.filter(realized())
                  .groupBy("region", "category")
                  .agg(exact_sum("net_revenue").alias("revenue"))
-                 .orderBy(F.desc("revenue")))
+                 .transform(lambda df: small_report(df, F.desc("revenue"))))
