@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -92,10 +93,18 @@ class Warehouse:
 
         stored = StoredWarehouse(self.spark, root)
         stg = stored.stg_orders
-        _write(quality.rejected(stg), f"{root}/rejected_orders")
-        _write(star.dim_product(stg), f"{root}/dim_product")
-        _write(star.dim_customer(stg), f"{root}/dim_customer")
-        _write(star.dim_date(stg), f"{root}/dim_date")
+        # independent tables: submit their jobs concurrently so small stages
+        # (the dimensions) share the cluster instead of queueing
+        builders = {
+            "rejected_orders": lambda: quality.rejected(stg),
+            "dim_product": lambda: star.dim_product(stg),
+            "dim_customer": lambda: star.dim_customer(stg),
+            "dim_date": lambda: star.dim_date(stg),
+        }
+        with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+            futures = [pool.submit(lambda n=n, b=b: _write(b(), f"{root}/{n}")) for n, b in builders.items()]
+            for f in futures:
+                f.result()
         fact = star.fact_sales(quality.accepted(stg),
                                bounded_broadcast(stored.dim_customer), bounded_broadcast(stored.dim_product))
         _write(fact, f"{root}/fact_sales")
