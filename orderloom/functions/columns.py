@@ -54,8 +54,14 @@ def sentence_case(c: str | Column) -> Column:
     return F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, 2, _MAX_LEN)))
 
 
+# Spark's text-to-number cast trims every ASCII control character at the
+# edges; the reference engine trims only space, \t, \n, \v, \f and \r.
+_CONTROL_EDGE = r"^[\x00-\x08\x0e-\x1f]|[\x00-\x08\x0e-\x1f]$"
+
+
 def try_double(c: str | Column) -> Column:
-    return col_(c).try_cast("double")
+    s = col_(c)
+    return F.when(~s.rlike(_CONTROL_EDGE), s.try_cast("double"))
 
 
 def try_integer(c: str | Column) -> Column:

@@ -83,3 +83,30 @@ def test_dim_date_calendar_rules(spark, duck, d):
     row = dim_date(stg).first()
     want = duck.execute("SELECT week(?::DATE), dayofweek(?::DATE), monthname(?::DATE)", [d, d, d]).fetchone()
     assert (row.week_of_year, row.day_of_week, row.month_name) == want
+
+
+def test_tolerant_casts_property(spark, duck):
+    """Random numeric-looking texts: Spark's tolerant INT / DOUBLE casts agree with TRY_CAST."""
+    from hypothesis import given, settings, strategies as st
+
+    texts = st.one_of(
+        st.integers(min_value=-10**6, max_value=10**6).map(str),
+        st.decimals(min_value=-10**5, max_value=10**5, places=3, allow_nan=False).map(str),
+        st.from_regex(r"\s?-?\d{1,4}(\.\d{1,3})?\s?", fullmatch=True),
+        st.from_regex(r"-?\d\.?\d?e-?\d", fullmatch=True),
+    )
+    batch = []
+
+    @settings(max_examples=150, deadline=None)
+    @given(texts)
+    def collect(t):
+        batch.append(t)
+
+    collect()
+    df = spark.createDataFrame([(t,) for t in batch], "t string")
+    rows = df.select("t", try_integer("t").alias("i"), try_double("t").alias("d")).collect()
+    for r in rows:
+        want_i, want_d = duck.execute("SELECT TRY_CAST(?::VARCHAR AS INTEGER), TRY_CAST(?::VARCHAR AS DOUBLE)",
+                                      [r.t, r.t]).fetchone()
+        assert r.i == want_i, r.t
+        assert _same(r.d, want_d), r.t

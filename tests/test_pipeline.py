@@ -104,3 +104,33 @@ def test_reference_names_work_in_spark_sql(spark):
     assert spark.sql("SELECT * FROM vw_repeat_customer_pct").count() == 1
     assert spark.sql("SELECT COUNT(*) FROM fact_sales f JOIN dim_customer c USING (customer_key)").first()[0] \
         == w.accepted_orders.count()
+
+
+def test_narrow_slice_matches_brute_force(spark, duck):
+    import datetime as dt
+
+    import pytest
+
+    from orderloom.plans import oracle, slices
+    w = Warehouse(testmap.raw_orders(spark, SF_SMALL), order_by=testmap.TIE_BREAK)
+    s = slices.as_slice("1996-01-01", "1997-06-30", ["North", "West"], ["Standard", "Promo", "Large"])
+    got = {(r.product_name, r.category): (r.revenue, r.units)
+           for r in slices.slice_top_products(w.sales_enriched, s).collect()}
+    kp = slices.slice_kpis(w.sales_enriched, s).first()
+    for t in ["region", "nation", "customer", "part", "orders", "lineitem"]:
+        duck.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    where = ("order_date::DATE BETWEEN DATE '1996-01-01' AND DATE '1997-06-30' "
+             "AND region IN ('North', 'West') AND category IN ('Standard', 'Promo', 'Large')")
+    top = duck.execute(oracle.with_star(f"""
+        SELECT product_name, category, {oracle.REV} AS revenue, CAST(SUM(quantity) AS BIGINT) AS units
+        FROM sales WHERE {where} GROUP BY 1, 2
+        ORDER BY revenue DESC, product_name NULLS LAST, category NULLS LAST LIMIT 10""")).fetchall()
+    assert got == {(a, b): (c, d) for a, b, c, d in top}
+    k = duck.execute(oracle.with_star(f"""
+        SELECT {oracle.REV}, COUNT(DISTINCT order_id), COUNT(DISTINCT customer_id), {oracle.RETURN_RATE}
+        FROM sales WHERE {where}""")).fetchone()
+    assert (kp.revenue, kp.orders, kp.customers) == k[:3]
+    assert kp.return_rate == pytest.approx(k[3])
+    with pytest.raises(ValueError):
+        slices.as_slice("1996-01-01", "1997-06-30", [], ["Standard"])
+    assert isinstance(s.date_from, dt.date)

@@ -54,3 +54,29 @@ def test_quality_report_json(spark):
     write_record_json(w.quality_report(), path)
     back = spark.read.json(path).first()
     assert back.typed_rows == back.clean_rows + back.rejected_rows
+
+
+def test_hot_month_is_split_across_writers(spark):
+    import collections
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from orderloom.schemas import ENRICHED_COLUMNS
+    from orderloom.sinks.files import export_sales_parquet
+
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        date = F.when(F.col("id") % 3 == 0, F.lit("2024-03-05 00:00:00")).otherwise(
+            F.concat(F.lit("201"), (F.col("id") % 10).cast("string"), F.lit("-0"),
+                     ((F.col("id") % 7) + 1).cast("string"), F.lit("-01 00:00:00")))
+        df = spark.range(300000).select(*[date.cast("timestamp_ntz").alias(c) if c == "order_date"
+                                          else F.col("id").cast("string").alias(c) for c in ENRICHED_COLUMNS])
+        path = tempfile.mkdtemp(prefix="orderloom-skew-") + "/sales"
+        export_sales_parquet(df, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+    files = glob.glob(path + "/year=*/month=*/*.parquet")
+    per_dir = collections.Counter("/".join(f.split("/")[-3:-1]) for f in files)
+    assert per_dir["year=2024/month=3"] > 1          # a third of the rows: several writers
+    assert spark.read.parquet(path).count() == 300000
