@@ -11,18 +11,21 @@ from orderloom.schemas import CART_ITEMS, RAW_ORDERS
 _CORRUPT = "_corrupt_record"
 
 
-def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_orders_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Header CSV, 16 text columns, malformed lines skipped.
 
     PERMISSIVE with a corrupt-record column and an explicit filter: unlike
     DROPMALFORMED, the drop does not depend on which columns a later query
-    happens to prune. Quoted fields may span lines; a quoted empty string
-    reads as NULL.
+    happens to prune. A quoted empty string reads as NULL.
+
+    ``multi_line`` lets quoted fields span lines; such a file is parsed by one
+    task, so land big feeds as many files, or pass False for a feed without
+    embedded newlines and Spark splits each file by maxPartitionBytes.
     """
     schema = T.StructType(RAW_ORDERS.fields + [T.StructField(_CORRUPT, T.StringType(), True)])
     df = (spark.read.schema(schema)
                .option("header", True)
-               .option("multiLine", True)
+               .option("multiLine", multi_line)
                .option("escape", '"')
                .option("ignoreLeadingWhiteSpace", False)
                .option("ignoreTrailingWhiteSpace", False)
