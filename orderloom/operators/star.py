@@ -81,8 +81,8 @@ def sales_enriched(accepted: DataFrame, customers: DataFrame, products: DataFram
 
     Joins on the natural ids, which are 1:1 with the surrogate keys, so the
     fact -> dims round trip of the reference collapses into one pass. The
-    planner (AQE) decides broadcast vs shuffle from the measured dim sizes,
-    and splits a skewed customer partition if one customer dominates.
+    planner (AQE) decides broadcast vs shuffle from the measured dim sizes;
+    for the shuffle case AQE's skew-join splitting is enabled in the session.
     """
     joined = (accepted.drop("customer_segment", "region", "product_name", "category")
                       .join(customers.select("customer_id", "customer_segment", "region"), "customer_id")

@@ -67,3 +67,41 @@ def test_month_slice_prunes_partitions(spark, stored):
 def test_top_customers_is_a_distributed_top_k(spark, stored):
     plan = analytics.top_customers(stored.sales_enriched)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_hot_customer_shuffle_join_keeps_every_row(spark):
+    """One customer holds a third of the lines and the dimension is not broadcast:
+    the enriched join runs as a sort-merge join and keeps every row."""
+    from orderloom.operators import star
+
+    n = 60000
+    accepted = spark.range(n).select(
+        F.col("id").cast("string").alias("line_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("C-HOT")).otherwise(F.concat(F.lit("C"), (F.col("id") % 5000).cast("string"))).alias("customer_id"),
+        F.concat(F.lit("P"), (F.col("id") % 50).cast("string")).alias("product_id"),
+        F.lit("O1").alias("order_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("order_date"),
+        F.lit("Web").alias("sales_channel"), F.lit(2).alias("quantity"), F.lit(10.0).alias("unit_price"),
+        F.lit(5.0).alias("discount_pct"), F.lit("UPI").alias("payment_method"), F.lit("Delivered").alias("order_status"),
+        F.lit(1).alias("shipping_days"), F.lit("x").alias("customer_segment"), F.lit("x").alias("region"),
+        F.lit("x").alias("product_name"), F.lit("x").alias("category"))
+    customers = accepted.select("customer_id").distinct().select(
+        "customer_id", F.lit("Consumer").alias("customer_segment"), F.lit("West").alias("region"))
+    products = accepted.select("product_id").distinct().select(
+        "product_id", F.lit("Widget").alias("product_name"), F.lit("Books").alias("category"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = star.sales_enriched(accepted, customers, products).groupBy("region").agg(F.count("*").alias("n"))
+        assert df.collect()[0].n == n
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
