@@ -24,3 +24,45 @@ def bounded_broadcast(df: DataFrame, bound: int = DEFAULT_BROADCAST_ROWS) -> Dat
     run time.
     """
     return F.broadcast(df) if row_count_at_most(df, bound) else df
+
+
+def hot_keys(big: DataFrame, key: str, fraction: float) -> list:
+    """Keys holding at least ``fraction`` of ``big``'s rows.
+
+    Counted with a map-side-combined aggregate; at most ``1 / fraction`` keys
+    can qualify, so the list that reaches the driver has a proven bound.
+    """
+    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = counts.filter(F.col("_n") >= total * F.lit(fraction)).select(key)
+    return [r[0] for r in hot.limit(int(1 / fraction) + 1).collect() if r[0] is not None]
+
+
+def salted_join(big: DataFrame, dim: DataFrame, key: str, salts: int = 32,
+                fraction: float = 0.01) -> DataFrame:
+    """Inner equi-join of a large side with a dimension when one key may hold
+    a large share of the large side's rows.
+
+    Rows of hot keys get a salt in [0, salts) from a hash of the row itself
+    and the dimension rows of those keys are replicated once per salt, so a
+    hot key is joined by ``salts`` tasks; every other key keeps salt 0 and is
+    not replicated. The salt is deterministic, so a map task recomputed after
+    a lost executor sends every row to the same reducer as before.
+    """
+    hot = hot_keys(big, key, fraction)
+    if not hot:
+        return big.join(dim, key)
+    is_hot = F.col(key).isin(*hot)
+    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    big_s = big.withColumn("_salt", F.when(is_hot, F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0)))
+    dim_s = dim.withColumn("_salt", F.explode(
+        F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return big_s.join(dim_s, [key, "_salt"]).drop("_salt")
+
+
+def join_dimension(big: DataFrame, dim: DataFrame, key: str,
+                   bound: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast join when a count proves the dimension small, else a salted shuffle join."""
+    if row_count_at_most(dim, bound):
+        return big.join(F.broadcast(dim), key)
+    return salted_join(big, dim, key)

@@ -90,10 +90,15 @@ def sales_enriched(accepted: DataFrame, customers: DataFrame, products: DataFram
     return line_amounts(joined).select(*ENRICHED_COLUMNS)
 
 
-def fact_sales(accepted: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame) -> DataFrame:
-    """``fact_sales``: accepted lines with surrogate keys, date key and amounts."""
-    joined = (accepted.join(dim_cust.select("customer_id", "customer_key"), "customer_id")
-                      .join(dim_prod.select("product_id", "product_key"), "product_id"))
+def fact_sales(accepted: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame, join=None) -> DataFrame:
+    """``fact_sales``: accepted lines with surrogate keys, date key and amounts.
+
+    ``join(big, dim, key)`` picks the join strategy (e.g. ``joins.join_dimension``:
+    checked broadcast, else a salted join for hot keys); default: the planner's.
+    """
+    join = join or (lambda big, dim, key: big.join(dim, key))
+    joined = join(join(accepted, dim_cust.select("customer_id", "customer_key"), "customer_id"),
+                  dim_prod.select("product_id", "product_key"), "product_id")
     return line_amounts(joined).withColumn("date_key", date_key("order_date")).select(*FACT_COLUMNS)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators import cleaning, quality, star
-from orderloom.operators.joins import bounded_broadcast
+from orderloom.operators.joins import bounded_broadcast, join_dimension
 from orderloom.session import scratch_path
 
 
@@ -105,8 +105,8 @@ class Warehouse:
             futures = [pool.submit(lambda n=n, b=b: _write(b(), f"{root}/{n}")) for n, b in builders.items()]
             for f in futures:
                 f.result()
-        fact = star.fact_sales(quality.accepted(stg),
-                               bounded_broadcast(stored.dim_customer), bounded_broadcast(stored.dim_product))
+        fact = star.fact_sales(quality.accepted(stg), stored.dim_customer, stored.dim_product,
+                               join=join_dimension)
         _write(fact, f"{root}/fact_sales")
         return stored
 

@@ -105,3 +105,19 @@ def test_hot_customer_shuffle_join_keeps_every_row(spark):
             else:
                 spark.conf.set(k, v)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    from orderloom.operators.joins import hot_keys, join_dimension
+
+    n = 60000
+    big = spark.range(n).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("C-HOT")).otherwise(F.concat(F.lit("C"), (F.col("id") % 5000).cast("string"))).alias("customer_id"))
+    dim = big.select("customer_id").distinct().withColumn("segment", F.lit("Consumer"))
+    assert hot_keys(big, "customer_id", 0.01) == ["C-HOT"]
+    joined = join_dimension(big, dim, "customer_id", bound=10)     # too big to broadcast
+    per_task = joined.filter("customer_id = 'C-HOT'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per_task) == n // 3            # whole: every hot row joined once
+    assert len(per_task) > 1                                       # and spread over several tasks
+    assert joined.count() == n
