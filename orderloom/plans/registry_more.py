@@ -47,7 +47,9 @@ def _ingest(spark: SparkSession, sf_dir: str) -> str:
     configure(spark)
     root = scratch_path(spark, "event_stream")
     source = testmap.land_event_files(spark, sf_dir, f"{root}/landing")
-    run_file_stream(spark, source, f"{root}/store", f"{root}/_checkpoint", files_per_trigger=2)
+    # 4 files per trigger: batch 0 = the first copy of every event (those files
+    # are older), batch 1 = the full redelivery, all duplicates of batch 0
+    run_file_stream(spark, source, f"{root}/store", f"{root}/_checkpoint", files_per_trigger=4)
     return f"{root}/store"
 
 
