@@ -101,7 +101,7 @@ def main() -> None:
         "value": results["b3_star_region_category"],
         "unit": "sec",
         "queries": results,
-        "sf": os.path.basename(sf_dir).replace("sf", ""),
+        "sf": float(os.path.basename(sf_dir).replace("sf", "")),
         "cpus": cpus,
         "runs": runs,
         "fact_rows": stored.fact_sales.count(),

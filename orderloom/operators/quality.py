@@ -63,13 +63,15 @@ def row_count(df: DataFrame) -> Column:
     return F.count(first) + F.count_if(first.isNull())
 
 
-def quality_report(raw: DataFrame, stg: DataFrame, fact: DataFrame, rejects: DataFrame,
+def quality_report(raw: DataFrame | Column, stg: DataFrame, fact: DataFrame, rejects: DataFrame,
                    dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
     """One row: counts per stage, distinct orders, dims, date span.
 
     Each figure is an uncorrelated scalar subquery over its own table; no
-    cross join is built.
+    cross join is built. ``raw`` is the raw feed, or a scalar Column holding
+    its row count when the feed is no longer kept.
     """
+    raw_rows = raw if isinstance(raw, Column) else raw.agg(row_count(raw)).scalar()
     base = fact.agg(
         F.count(F.lit(1)).alias("clean_rows"),
         F.count_distinct("order_id").alias("orders"),
@@ -77,7 +79,7 @@ def quality_report(raw: DataFrame, stg: DataFrame, fact: DataFrame, rejects: Dat
         F.max("order_date").alias("max_date"),
     )
     return base.select(
-        raw.agg(row_count(raw)).scalar().alias("raw_rows"),
+        raw_rows.alias("raw_rows"),
         stg.agg(F.count(F.lit(1))).scalar().alias("typed_rows"),
         "clean_rows",
         rejects.agg(F.count(F.lit(1))).scalar().alias("rejected_rows"),
