@@ -146,3 +146,21 @@ def test_bounded_watermark_mode_stores_each_event_once(spark):
     run_file_stream(spark, landing, f"{root}/store", f"{root}/ckpt", files_per_trigger=1, watermark="1 hour")
     stored = spark.read.parquet(f"{root}/store/order_events")
     assert sorted(r.order_id for r in stored.collect()) == ["LIVE-TEST-001", "LIVE-TEST-002"]
+
+
+def test_state_store_mode_is_exact_across_batches_and_restarts(spark):
+    root = _scratch()
+    landing = os.path.join(root, "landing")
+    os.makedirs(landing)
+
+    def land(name, events):
+        with open(os.path.join(landing, name), "w") as f:
+            f.write("\n".join(e if isinstance(e, str) else json.dumps(e) for e in events) + "\n")
+
+    land("001.json", [EVENT_A, "{bad"])
+    run_file_stream(spark, landing, f"{root}/store", f"{root}/ckpt", dedupe="state")
+    land("002.json", [EVENT_A, EVENT_B, "{bad"])          # redelivery after a restart
+    run_file_stream(spark, landing, f"{root}/store", f"{root}/ckpt", dedupe="state")
+    stored = spark.read.parquet(f"{root}/store/order_events")
+    assert sorted(r.order_id for r in stored.collect()) == ["LIVE-TEST-001", "LIVE-TEST-002"]
+    assert spark.read.json(f"{root}/store/dead_letters").count() == 2   # every bad delivery
