@@ -89,8 +89,10 @@ def test_hot_customer_shuffle_join_keeps_every_row(spark):
     products = accepted.select("product_id").distinct().select(
         "product_id", F.lit("Widget").alias("product_name"), F.lit("Books").alias("category"))
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
@@ -121,3 +123,30 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert sum(r["count"] for r in per_task) == n // 3            # whole: every hot row joined once
     assert len(per_task) > 1                                       # and spread over several tasks
     assert joined.count() == n
+
+
+def test_aqe_splits_a_hot_key_in_a_shuffle_join(spark):
+    """The session settings leave AQE's skew-join split on: a key with a third
+    of the rows is split across tasks (thresholds lowered to local sizes)."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        big = spark.range(200000).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000).alias("k"))
+        dim = spark.range(5000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+        df = big.join(dim, "k").groupBy("v").count()
+        assert df.collect()[0]["count"] == 200000
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
