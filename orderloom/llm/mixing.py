@@ -119,6 +119,7 @@ def mix_documents(docs: DataFrame, *, max_epochs: int = MAX_EPOCHS, weights: tup
     sizes = stored(sized.select("source", source_key(F.col("source")).alias("key"), "size", "draw"), "mix-sizes")
     targets = stored(source_targets(stored(source_weights(sizes, weights), "mix-sources"), max_epochs), "mix-targets")
     plan = stored(targets.join(cuts(sizes, targets), "key", "left"), "mix-plan")
-    reps = F.col("whole") + F.when(F.col("draw") <= F.col("cut"), 1).otherwise(0)
+    once_more = (F.col("rest") > 0) & (F.col("draw") <= F.col("cut"))
+    reps = F.col("whole") + F.when(once_more, 1).otherwise(0)
     return (sized.withColumn("key", source_key(F.col("source"))).join(plan, "key")
             .select("doc", "size", "source_size", "target", reps.cast("long").alias("reps")))

@@ -5,20 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.llm import decontaminate, langid, line_dedup, mixing, quality, tokens, url_filter
 from orderloom.llm.common import table
 
 
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(langid.learning_rows(docs))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc.doc_id", langid.held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from orderloom.llm.line_dedup import dedup_lines
-    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from orderloom.llm.mixing import mix_documents
-    mixed = mix_documents(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
     return mixed.select("doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc.doc_id", quality.held_out("doc.doc_id").alias("held_out"), "score",
+                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("doc.page_id", "host", "path", "rule", "verdict", "probability")
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
