@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, langid, line_dedup, mixing, quality, tokens, url_filter
-from orderloom.llm.common import table
+from orderloom.llm import decontaminate, langid, line_dedup, mixing, near_dedup, quality, tokens, url_filter
+from orderloom.llm.common import NULL_ID, table
 
 
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", langid.held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    known = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
+    return found.select(known("id").alias("doc_id"), "n_shingles", known("component").alias("component_id"),
+                        (F.col("id") == F.col("component")).alias("kept"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
