@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, langid, line_dedup, mixing, near_dedup, quality, tokens, url_filter
+from orderloom.llm import decontaminate, embed_dedup, langid, line_dedup, mixing, near_dedup, quality, tokens, url_filter
 from orderloom.llm.common import NULL_ID, table
 
 
@@ -13,6 +13,16 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(table(spark, sf_dir, "documents"))
 
 
+def _known(column: str):
+    return F.when(F.col(column) != NULL_ID, F.col(column))
+
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(_known("id").alias("vec_id"), "n_links", _known("component").alias("component_id"),
+                        (F.col("id") == F.col("component")).alias("kept"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.learn(langid.learning_rows(docs))
@@ -22,8 +32,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
-    known = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return found.select(known("id").alias("doc_id"), "n_shingles", known("component").alias("component_id"),
+    return found.select(_known("id").alias("doc_id"), "n_shingles", _known("component").alias("component_id"),
                         (F.col("id") == F.col("component")).alias("kept"))
 
 
