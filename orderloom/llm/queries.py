@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, embed_dedup, langid, line_dedup, mixing, near_dedup, quality, tokens, url_filter
+from orderloom.llm import decontaminate, embed_dedup, langid, line_dedup, mixing, near_dedup, quality, tokens, url_filter, warc
 from orderloom.llm.common import NULL_ID, table
+from orderloom.session import scratch_path
 
 
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,5 +67,11 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "llm-warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.page_records(warc.read_warc(spark, path))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
