@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import BATCH_ROWS, id_order, map_texts, stored
+from orderloom.llm.common import BATCH_ROWS, as_doc, id_order, map_texts, stored, undoc
 from orderloom.llm.components import connected_components
 
 WORDS = 5
@@ -281,8 +281,9 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, words: int = WOR
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """One document of each group stays, with its own columns: the one with the smallest id."""
     found = near_duplicates(docs, id_col=id_col, **options)
-    gone = stored(found.where("id <> component").select(F.col("id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, id_order(F.col(f"`{id_col}`")) == F.col("_gone"), "left_anti")
+    gone = stored(found.where("id <> component").select("id").distinct(), "gone")
+    rows = as_doc(docs).withColumn("id", id_order(F.col(f"doc.`{id_col}`")))
+    return undoc(rows.join(gone, "id", "left_anti"), docs)
 
 
 def links(docs: DataFrame, table: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
