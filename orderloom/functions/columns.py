@@ -23,6 +23,7 @@ REALIZED_STATUSES = ("Delivered", "Shipped")
 RETURNED_STATUS = "Returned"
 
 _MAX_LEN = 2147483647
+_EXACT_CENTS = float(2**53)  # whole numbers below it are exact in a DOUBLE
 
 
 def col_(c: str | Column) -> Column:
@@ -59,9 +60,17 @@ def sentence_case(c: str | Column) -> Column:
 _CONTROL_EDGE = r"^[\x00-\x08\x0e-\x1f]|[\x00-\x08\x0e-\x1f]$"
 
 
+# Spark reads a Java float suffix ('10d', '1e5f') as a number; the reference's engine does not.
+_FLOAT_SUFFIX = r"[0-9.][dDfF]\s*$"
+# ... and that engine reads '1_000' as 1000
+_DIGIT_GROUPS = r"(?<=[0-9])_(?=[0-9])"
+_HEX = r"^\s*0[xX][0-9a-fA-F]{1,8}\s*$"
+
+
 def try_double(c: str | Column) -> Column:
     s = col_(c)
-    return F.when(~s.rlike(_CONTROL_EDGE), s.try_cast("double"))
+    plain = F.regexp_replace(s, _DIGIT_GROUPS, "")
+    return F.when(~s.rlike(_CONTROL_EDGE) & ~s.rlike(_FLOAT_SUFFIX), plain.try_cast("double"))
 
 
 def try_integer(c: str | Column) -> Column:
@@ -70,17 +79,24 @@ def try_integer(c: str | Column) -> Column:
     A plain ``try_cast(x AS INT)`` refuses decimals; going through DOUBLE and
     rounding half away from zero accepts the same texts the reference does.
     """
-    return F.round(try_double(c)).try_cast("int")
+    s = col_(c)
+    hexadecimal = F.conv(F.substring(F.trim(s), 3, 8), 16, 10).try_cast("int")
+    return F.when(s.rlike(_HEX), hexadecimal).otherwise(F.round(try_double(c)).try_cast("int"))
 
 
-# A timestamp text must at least start with a full date; a bare year such as
-# '2024' is not a timestamp (Spark alone would read it as 2024-01-01).
-_DATE_PREFIX = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+# A timestamp text is a full date (a bare year such as '2024' is none), alone or with at
+# least hours and minutes behind one space or T; '/' may stand for '-' in the date.
+_TIMESTAMP = r"^\s*(\d{4})([-/])(\d{1,2})\2(\d{1,2})(?:$|[ T]\d{1,2}:\d{1,2}.*$)"
+_DATE = r"^(\s*\d{4})/(\d{1,2})/(\d{1,2})"
+_MIDNIGHT = r"[ T]24:00(:00(\.0+)?)?\s*$"
 
 
 def try_timestamp(c: str | Column) -> Column:
     s = col_(c)
-    return F.when(s.rlike(_DATE_PREFIX), s.try_cast("timestamp_ntz"))
+    dashed = F.regexp_replace(s, _DATE, "$1-$2-$3")
+    next_day = F.date_add(F.regexp_replace(dashed, _MIDNIGHT, "").try_cast("date"), 1).try_cast("timestamp_ntz")
+    read = F.when(dashed.rlike(_MIDNIGHT), next_day).otherwise(dashed.try_cast("timestamp_ntz"))
+    return F.when(s.rlike(_TIMESTAMP), read)
 
 
 def money_round(c: str | Column) -> Column:
@@ -99,9 +115,15 @@ def exact_sum(c: str | Column) -> Column:
     Each value is already rounded to cents, so it is summed as a BIGINT count
     of cents (exact, and a fixed-width hash-aggregate buffer, unlike a wide
     DECIMAL); cents / 100.0 is the DOUBLE nearest the exact total, the same
-    value a DECIMAL sum cast to DOUBLE gives.
+    value a DECIMAL sum cast to DOUBLE gives. Amounts too large to be exact
+    in cents, infinities and NaN are summed as DOUBLEs beside them, so none is
+    left out; a BIGINT sum that overflows is an error under ANSI rules.
     """
-    return F.sum(F.round(col_(c) * F.lit(100.0)).try_cast("bigint")) / F.lit(100.0)
+    cents = col_(c) * F.lit(100.0)
+    exact = F.abs(cents) < F.lit(_EXACT_CENTS)  # false for NaN, which sorts above every number
+    small = F.sum(F.when(exact, F.round(cents)).cast("bigint")) / F.lit(100.0)
+    large = F.sum(F.when(~exact, col_(c)))
+    return F.when(large.isNull(), small).otherwise(F.coalesce(small, F.lit(0.0)) + large)
 
 
 def realized(status: str | Column = "order_status") -> Column:

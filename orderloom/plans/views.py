@@ -61,4 +61,4 @@ def daily_change(sales: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["daily_revenue", "monthly_growth", "repeat_customer_pct", "daily_change", "exact_sum"]
+__all__ = ["daily_revenue", "monthly_growth", "repeat_customer_pct", "daily_change"]
