@@ -18,6 +18,7 @@ from orderloom.functions import (
 )
 from orderloom.operators.cleaning import dedupe_by_key
 from orderloom.plans import analytics, olap, slices, storage, views
+from orderloom.plans.registry_more import more_queries
 from orderloom.plans.warehouse import Warehouse
 from orderloom.session import configure, scratch_path
 from orderloom.sinks import files as sinks
@@ -134,7 +135,7 @@ def export_result_csv(spark, sf_dir):
     schema = T.StructType([T.StructField("category", T.StringType()), T.StructField("revenue", T.DoubleType()),
                            T.StructField("orders", T.LongType()),
                            T.StructField("return_rate_pct", T.DoubleType())])
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(**sources.RESULT_CSV_READ).csv(path)
 
 
 def batch_queries() -> dict[str, Query]:
@@ -190,10 +191,4 @@ def batch_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    out = dict(batch_queries())
-    try:
-        from orderloom.plans.registry_more import more_queries
-        out.update(more_queries())
-    except ImportError:
-        pass
-    return out
+    return batch_queries() | more_queries()

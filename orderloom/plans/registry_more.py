@@ -7,6 +7,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.plans.snapshot_queries import snapshot_queries
+from orderloom.schemas import DEAD_LETTER
 from orderloom.session import configure, scratch_path
 from orderloom.sources import testmap
 from orderloom.streaming import events as ev
@@ -30,9 +32,8 @@ def event_validate(spark, sf_dir):
 
 
 def event_normalize(spark, sf_dir):
-    """R2: normalised text fields of the parsed payloads."""
-    return (_checked(spark, sf_dir).filter(F.col("payload").startswith("{\"event_id\""))
-            .select("event_id", *ev.TEXT_LIMITS))
+    """R2: normalised text fields of every payload (NULL where it is no JSON)."""
+    return _checked(spark, sf_dir).select("event_id", *ev.TEXT_LIMITS)
 
 
 def event_net_revenue(spark, sf_dir):
@@ -76,7 +77,7 @@ def stream_insert_status(spark, sf_dir):
 
 def stream_dead_letters(spark, sf_dir):
     """Dead-letter records (failure time left out)."""
-    dead = spark.read.json(f"{_ingest(spark, sf_dir)}/dead_letters")
+    dead = spark.read.schema(DEAD_LETTER).json(f"{_ingest(spark, sf_dir)}/dead_letters")
     return dead.select("error", "payload")
 
 
@@ -115,7 +116,7 @@ def recent_orders(spark, sf_dir):
 
 
 def more_queries() -> dict:
-    q = {
+    return snapshot_queries() | {
         "event_validate": event_validate,
         "event_normalize": event_normalize,
         "event_net_revenue": event_net_revenue,
@@ -127,9 +128,3 @@ def more_queries() -> dict:
         "live_metrics": live_metrics,
         "recent_orders": recent_orders,
     }
-    try:
-        from orderloom.plans.snapshot_queries import snapshot_queries
-        q.update(snapshot_queries())
-    except ImportError:
-        pass
-    return q

@@ -27,6 +27,9 @@ TEXT_LIMITS = {
 QUANTITY_MAX = 100
 PRICE_MAX_DIGITS = 12
 PRICE_MAX_PLACES = 2
+PRICE_MAX_WHOLE = PRICE_MAX_DIGITS - PRICE_MAX_PLACES
+# Fixed value: numbers above it are Unix milliseconds, not seconds.
+UNIX_SECONDS_MAX = 20_000_000_000
 DISCOUNT_MAX = "0.80"
 
 
@@ -82,6 +85,9 @@ def _rules() -> list[tuple[str, Column]]:
         ("unit_price: at most 2 decimal places", p.isNotNull() & (places > PRICE_MAX_PLACES)),
         ("unit_price: at most 12 digits",
          p.isNotNull() & (places <= PRICE_MAX_PLACES) & (int_digits + places > PRICE_MAX_DIGITS)),
+        ("unit_price: at most 10 whole digits",
+         p.isNotNull() & (places <= PRICE_MAX_PLACES) & (int_digits + places <= PRICE_MAX_DIGITS)
+         & (int_digits > PRICE_MAX_WHOLE)),
     ]
     d = _decimal(e("discount_pct"))
     rules += [
@@ -93,9 +99,12 @@ def _rules() -> list[tuple[str, Column]]:
 
 
 def _event_time(text: Column) -> Column:
-    """ISO-8601 text (with or without a zone; UTC when none) or Unix seconds."""
+    """ISO-8601 text (with or without a zone; UTC when none), or Unix seconds or milliseconds."""
     iso = F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
-    unix = F.when(text.rlike(r"^\s*-?\d+(\.\d+)?\s*$"), F.timestamp_seconds(text.try_cast("decimal(20,6)")))
+    number = F.when(text.rlike(r"^\s*-?\d+(\.\d+)?\s*$"), text.try_cast("decimal(20,6)"))
+    seconds = F.when(F.abs(number) > UNIX_SECONDS_MAX, number / 1000).otherwise(number)
+    # years 1 to 9999, as ISO text can name them
+    unix = F.when(seconds.between(-62135596800, 253402300799), F.timestamp_seconds(seconds.cast("decimal(20,6)")))
     return F.coalesce(iso, unix)
 
 
@@ -109,6 +118,10 @@ def validate(df: DataFrame, payload: str = "payload", now: Column | None = None)
     now = now if now is not None else F.current_timestamp()
     parsed = parse_payload(df, payload)
     rules = _rules()
+    # a default stands for an absent field; an explicit null is no value of its type
+    keys = F.coalesce(F.json_object_keys(F.col(payload)), F.array().cast("array<string>"))
+    rules += [(f"{name}: null is not a value", F.array_contains(keys, name) & F.col("e")[name].isNull())
+              for name in ("event_id", "event_time", "discount_pct")]
     # a payload that is not JSON fails as a whole, like a parse error would
     (bad_json_msg, bad_json), field_rules = rules[0], rules[1:]
     errors = F.when(bad_json, F.lit(bad_json_msg)).otherwise(
@@ -131,7 +144,13 @@ def validate(df: DataFrame, payload: str = "payload", now: Column | None = None)
         "unit_price": price,
         "discount_exact": discount,
     }
-    out = parsed.withColumns(typed).withColumn("is_valid", F.col("errors") == F.lit(""))
+    out = parsed.withColumns(typed)
+    # a rule that lets a value through which its type cannot hold must not make the event valid
+    unfit = F.lit(False)
+    for name in ("event_id", "event_time", "quantity", "unit_price", "discount_exact", *TEXT_LIMITS):
+        unfit = unfit | F.col(name).isNull()
+    out = out.withColumn("errors", F.when((F.col("errors") == "") & unfit, "value cannot be stored").otherwise(F.col("errors")))
+    out = out.withColumn("is_valid", F.col("errors") == F.lit(""))
     valid_only = F.col("is_valid")
     return out.withColumns({
         "quantity": F.when(valid_only, F.col("quantity")),

@@ -22,14 +22,18 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.operators.cleaning import dedupe_by_key
 from orderloom.operators.joins import bounded_broadcast
+from orderloom.schemas import ORDER_EVENTS
 from orderloom.streaming.events import EVENT_COLUMNS, validate
 
 # A micro-batch is bounded by the trigger (maxFilesPerTrigger /
 # maxOffsetsPerTrigger); its ids are broadcast only below this proven count.
 BATCH_BROADCAST_ROWS = 5_000_000
+# Declared, so that a batch does not open stored files to learn their schema.
+STORED_EVENTS = T.StructType([*ORDER_EVENTS.fields, T.StructField("batch_id", T.LongType())])
 
 
 class OrderEventSink:
@@ -43,8 +47,8 @@ class OrderEventSink:
     def __init__(self, root: str, clock=None, history: bool = True):
         self.root = root.rstrip("/")
         self.clock = clock
-        # history=False: the stream was already de-duplicated within a
-        # watermark (``dedupe_within_watermark``); skip the probe of stored ids
+        # history=False: the stream was already de-duplicated in the state store
+        # (``dedupe_in_state``); skip the probe of stored ids
         self.history = history
 
     @property
@@ -62,7 +66,7 @@ class OrderEventSink:
     def stored_ids(self, spark: SparkSession, before_batch: int) -> DataFrame | None:
         """Ids stored by earlier batches (partition-pruned to ``batch_id < n``)."""
         try:
-            table = spark.read.parquet(self.events_path)
+            table = spark.read.schema(STORED_EVENTS).parquet(self.events_path)
         except AnalysisException:  # nothing stored yet
             return None
         return table.filter(F.col("batch_id") < before_batch).select("event_id")
@@ -122,21 +126,6 @@ def with_arrival(stream: DataFrame) -> DataFrame:
                  F.xxhash64("value").alias("h")).alias("arrival"))
 
 
-def dedupe_within_watermark(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Bounded-state alternative to the history probe.
-
-    Keeps the first copy of each event id seen within ``delay`` of event
-    time; state is dropped as the watermark passes, so it stays bounded. The
-    semantics change: a copy arriving later than ``delay`` after the newest
-    event time is dropped as late rather than compared with stored rows, and
-    an event without a time (default: now) is keyed by its arrival.
-    """
-    checked = validate(stream, "payload")
-    return (checked.withWatermark("event_time", delay)
-                   .dropDuplicatesWithinWatermark(["event_id"])
-                   .select("payload", "arrival"))
-
-
 def dedupe_in_state(stream: DataFrame) -> DataFrame:
     """Exact first-write-wins kept in the streaming state store.
 
@@ -155,59 +144,62 @@ def dedupe_in_state(stream: DataFrame) -> DataFrame:
 
 
 def run_file_stream(spark: SparkSession, source_dir: str, root: str, checkpoint: str,
-                    files_per_trigger: int = 1, clock=None, watermark: str | None = None,
-                    dedupe: str = "history") -> OrderEventSink:
+                    files_per_trigger: int = 1, clock=None, dedupe: str = "history") -> OrderEventSink:
     """Ingest every NDJSON file under ``source_dir`` (available-now trigger).
 
     ``dedupe``: "history" (default; the sink probes ids stored by earlier
-    batches, exact, with a status for every delivery), "state"
-    (``dedupe_in_state``), or "watermark" (``dedupe_within_watermark`` with
-    ``watermark``, bounded state). Passing ``watermark`` alone selects it.
+    batches, with a status for every delivery) or "state" (``dedupe_in_state``). Both are
+    exact: neither drops a late event.
     """
-    if watermark is not None and dedupe == "history":
-        dedupe = "watermark"
-    sink = OrderEventSink(root, clock=clock, history=dedupe == "history")
+    sink = OrderEventSink(root, clock=clock, history=_dedupe_mode(dedupe) == "history")
     stream = with_arrival(spark.readStream.format("text")
                                .option("maxFilesPerTrigger", files_per_trigger)
                                .load(source_dir))
-    if dedupe == "watermark":
-        stream = dedupe_within_watermark(stream, watermark or "1 hour")
-    elif dedupe == "state":
+    if dedupe == "state":
         stream = dedupe_in_state(stream)
-    query = (stream.writeStream
-                                 .foreachBatch(sink)
-                                 .option("checkpointLocation", checkpoint)
-                                 .trigger(availableNow=True)
-                                 .start())
+    query = (stream.writeStream.foreachBatch(sink)
+                   .option("checkpointLocation", checkpoint)
+                   .trigger(availableNow=True)
+                   .start())
     query.awaitTermination()
     return sink
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+# The state store that keeps its keys on disk; one row per event id ever seen is too many for memory.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-__all__ = ["OrderEventSink", "run_file_stream", "start_event_stream", "kafka_events", "with_arrival", "read_table"]
+def _dedupe_mode(dedupe: str) -> str:
+    if dedupe not in ("history", "state"):
+        raise ValueError(f"dedupe must be 'history' or 'state', not {dedupe!r}")
+    return dedupe
 
 
-def start_event_stream(stream: DataFrame, root: str, checkpoint: str,
-                       trigger_seconds: float = 2.0):
+def start_event_stream(stream: DataFrame, root: str, checkpoint: str, trigger_seconds: float = 2.0,
+                       dedupe: str = "state"):
     """Production form: a running query flushing every ``trigger_seconds``.
 
     ``stream`` must carry ``payload`` (text) and ``arrival`` (an orderable
-    arrival position, e.g. Kafka partition/offset). The rate per batch is
-    capped at the source (maxOffsetsPerTrigger / maxFilesPerTrigger), the
-    analogue of the reference's 25-event prefetch.
+    arrival position, e.g. Kafka partition/offset). ``dedupe="state"`` (default) looks up only
+    the batch's own ids, in a RocksDB state store, so the cost of a batch does not follow
+    the history; "history" reads all stored ids in every batch.
     """
-    return (stream.writeStream
-                  .foreachBatch(OrderEventSink(root))
+    sink = OrderEventSink(root, history=_dedupe_mode(dedupe) == "history")
+    if dedupe == "state":
+        stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        stream = dedupe_in_state(stream)
+    return (stream.writeStream.foreachBatch(sink)
                   .option("checkpointLocation", checkpoint)
                   .trigger(processingTime=f"{trigger_seconds} seconds")
                   .start())
 
 
-def kafka_events(spark: SparkSession, servers: str, topic: str, max_per_trigger: int = 10_000) -> DataFrame:
-    """Kafka source shaped for the sink (needs the spark-sql-kafka package)."""
+def kafka_events(spark: SparkSession, servers: str, topic: str, max_per_trigger: int) -> DataFrame:
+    """Kafka source shaped for the sink (needs the spark-sql-kafka package).
+
+    ``max_per_trigger`` bounds the offsets of one micro-batch: at a trigger of s seconds the stream
+    takes at most ``max_per_trigger / s`` events a second, the rest waits in the topic.
+    """
     raw = (spark.readStream.format("kafka")
                 .option("kafka.bootstrap.servers", servers)
                 .option("subscribe", topic)

@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 import os
+
+import pytest
 import tempfile
 from decimal import Decimal
 
@@ -135,17 +137,48 @@ def test_file_stream_restart_from_checkpoint(spark):
     assert events_by_minute(stored).first().event_count == 2
 
 
-def test_bounded_watermark_mode_stores_each_event_once(spark):
-    root = _scratch()
-    landing = os.path.join(root, "landing")
-    os.makedirs(landing)
-    with open(os.path.join(landing, "001.json"), "w") as f:
-        f.write("\n".join(json.dumps(e) for e in [EVENT_A, EVENT_B, EVENT_A]) + "\n")
-    with open(os.path.join(landing, "002.json"), "w") as f:
-        f.write(json.dumps(EVENT_B) + "\n")
-    run_file_stream(spark, landing, f"{root}/store", f"{root}/ckpt", files_per_trigger=1, watermark="1 hour")
-    stored = spark.read.parquet(f"{root}/store/order_events")
-    assert sorted(r.order_id for r in stored.collect()) == ["LIVE-TEST-001", "LIVE-TEST-002"]
+def test_a_late_event_is_stored_whatever_came_before(spark):
+    for mode in ("history", "state"):
+        root = _scratch()
+        landing = os.path.join(root, "landing")
+        os.makedirs(landing)
+        batches = [["{bad", dict(EVENT_A, event_time="2099-01-01T00:00:00Z")], [dict(EVENT_B, event_time="2025-01-01T00:00:00Z")]]
+        for i, events in enumerate(batches):
+            with open(os.path.join(landing, f"{i}.json"), "w") as f:
+                f.write("\n".join(e if isinstance(e, str) else json.dumps(e) for e in events) + "\n")
+            run_file_stream(spark, landing, f"{root}/store", f"{root}/ckpt", dedupe=mode)
+        stored = spark.read.parquet(f"{root}/store/order_events")
+        assert sorted(r.order_id for r in stored.collect()) == ["LIVE-TEST-001", "LIVE-TEST-002"]
+    with pytest.raises(ValueError):
+        run_file_stream(spark, landing, f"{root}/store", f"{root}/ckpt", dedupe="watermark")
+
+
+def test_no_valid_event_has_a_null_field(spark):
+    cases = {
+        "whole_10": (dict(EVENT_A, unit_price="1234567890.12"), ""),
+        "whole_11": (dict(EVENT_A, unit_price="12345678901"), "unit_price: at most 10 whole digits"),
+        "whole_11_1": (dict(EVENT_A, unit_price="12345678901.5"), "unit_price: at most 10 whole digits"),
+        "null_time": (dict(EVENT_A, event_time=None), "event_time: null is not a value"),
+        "null_id": (dict(EVENT_A, event_id=None), "event_id: null is not a value"),
+        "null_discount": (dict(EVENT_A, discount_pct=None), "discount_pct: null is not a value"),
+        "millis": (dict(EVENT_A, event_time=1704067200000), ""),
+        "seconds": (dict(EVENT_A, event_time=1704067200), ""),
+        "far": (dict(EVENT_A, event_time=10**18), "event_time: not a datetime"),
+    }
+    df = spark.createDataFrame([(k, json.dumps(v)) for k, (v, _) in cases.items()], "k string, payload string")
+    got = {r.k: r for r in validate(df, "payload").collect()}
+    for k, (_, error) in cases.items():
+        assert (got[k].is_valid, got[k].errors) == (error == "", error), k
+        if not error:
+            assert None not in (got[k].unit_price, got[k].net_revenue, got[k].event_time)
+    assert got["millis"].event_time == got["seconds"].event_time
+
+
+def test_a_clean_stream_reads_back_as_no_dead_letters(spark):
+    from orderloom.schemas import DEAD_LETTER
+    sink = OrderEventSink(_scratch(), clock=_clock)
+    sink(_batch(spark, [EVENT_A]), 0)
+    assert spark.read.schema(DEAD_LETTER).json(sink.dead_letter_path).select("error", "payload").count() == 0
 
 
 def test_state_store_mode_is_exact_across_batches_and_restarts(spark):
