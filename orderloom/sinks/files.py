@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.schemas import ENRICHED_COLUMNS
+from orderloom.sources.files import RESULT_CSV_WRITE
 
 
 def with_year_month(sales: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def export_result_csv(result: DataFrame, path: str) -> None:
     Results here are aggregates (bounded by labels or by a LIMIT); the rows
     are written by the executors, nothing passes through the driver.
     """
-    result.write.mode("overwrite").option("header", True).csv(path)
+    result.write.mode("overwrite").options(**RESULT_CSV_WRITE).csv(path)
 
 
 def write_record_json(record: DataFrame, path: str) -> None:

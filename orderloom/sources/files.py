@@ -10,6 +10,12 @@ from orderloom.schemas import CART_ITEMS, RAW_ORDERS
 
 _CORRUPT = "_corrupt_record"
 
+#: CSV that keeps text as it is: quotes doubled, spaces kept, NULL an empty field and '' a quoted one.
+RESULT_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+RESULT_CSV_WRITE = RESULT_CSV | {"nullValue": "", "emptyValue": '""'}
+#: an empty field is read as ``nullValue``, so this must be no text that occurs; quoted fields may hold newlines
+RESULT_CSV_READ = RESULT_CSV | {"nullValue": "\0", "emptyValue": "", "multiLine": True}
+
 
 def read_orders_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Header CSV, 16 text columns, malformed lines skipped.
@@ -32,8 +38,11 @@ def read_orders_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
                .option("mode", "PERMISSIVE")
                .option("columnNameOfCorruptRecord", _CORRUPT)
                .csv(path))
-    # keep all declared columns in the projection so the corrupt flag is computed
-    return df.filter(F.col(_CORRUPT).isNull()).select(*RAW_ORDERS.fieldNames())
+    # The corrupt flag is computed only while a declared column is read, also under a bare
+    # count(): the filter always holds for the last column but cannot be folded away.
+    last = F.col(RAW_ORDERS.fieldNames()[-1])
+    parsed = F.coalesce(F.length(last), F.lit(0)) >= 0
+    return df.filter(F.col(_CORRUPT).isNull() & parsed).select(*RAW_ORDERS.fieldNames())
 
 
 def write_orders_csv(raw: DataFrame, path: str) -> None:
@@ -46,7 +55,7 @@ def write_orders_csv(raw: DataFrame, path: str) -> None:
 
 def read_cart_items_csv(spark: SparkSession, path: str) -> DataFrame:
     """The flattened snapshot items, typed by the declared 12-column schema."""
-    return spark.read.schema(CART_ITEMS).option("header", True).csv(path)
+    return spark.read.schema(CART_ITEMS).options(**RESULT_CSV_READ).csv(path)
 
 
 def read_sales_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -80,3 +80,27 @@ def test_hot_month_is_split_across_writers(spark):
     per_dir = collections.Counter("/".join(f.split("/")[-3:-1]) for f in files)
     assert per_dir["year=2024/month=3"] > 1          # a third of the rows: several writers
     assert spark.read.parquet(path).count() == 300000
+
+
+def test_text_survives_the_csv_round_trip(spark):
+    from orderloom.schemas import CART_ITEMS
+    from orderloom.session import scratch_path
+    from orderloom.sinks import files as sinks
+    from orderloom.sources.files import read_cart_items_csv
+    texts = ["  padded ", "two\nlines", "", None, 'say "hi", ok', "back\\slash", "'single'", "é\u00a0中"]
+    rows = [tuple(t if f.dataType.simpleString() == "string" and f.name == "product_title" else None for f in CART_ITEMS.fields) for t in texts]
+    df = spark.createDataFrame(rows, CART_ITEMS)
+    path = scratch_path(spark, "csv-text")
+    sinks.export_result_csv(df, path)
+    back = [r.product_title for r in read_cart_items_csv(spark, path).collect()]
+    assert sorted(back, key=repr) == sorted(texts, key=repr)
+
+
+def test_a_bare_count_over_the_orders_csv(spark, tmp_path):
+    from orderloom.schemas import RAW_ORDERS
+    from orderloom.sources.files import read_orders_csv
+    names = RAW_ORDERS.fieldNames()
+    good = ",".join(f"v{i}" for i in range(len(names)))
+    (tmp_path / "a.csv").write_text("\n".join([",".join(names), good, "too,few", good, good + ",too,many"]) + "\n")
+    df = read_orders_csv(spark, str(tmp_path))
+    assert df.count() == len(df.collect()) == 2
