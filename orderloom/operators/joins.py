@@ -5,64 +5,78 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.session import scratch_path
+
 # A dimension may be broadcast only when a count proves it holds at most this
 # many rows; beyond it the join stays a shuffle join (sort-merge, with AQE
 # splitting skewed partitions).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# ... and this many bytes of values.
+DEFAULT_BROADCAST_BYTES = 256 << 20
+# Rows of one key that one task of a shuffle join may get.
+ROWS_PER_TASK = 4_000_000
 
 
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows (reads no more than bound+1)."""
-    return df.limit(bound + 1).count() <= bound
+def fits(df: DataFrame, rows: int, bytes_: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``rows`` rows and ``bytes_`` bytes of values (one partial aggregate, two numbers collected)."""
+    width = F.lit(8 * len(df.columns))
+    for f in df.schema.fields:
+        if f.dataType.typeName() in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif f.dataType.typeName() in ("array", "map", "struct"):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+    n, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return n <= rows and (size or 0) <= bytes_
 
 
 def bounded_broadcast(df: DataFrame, bound: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if its row count is proven <= bound, else ``df`` unchanged.
+    """``broadcast(df)`` if its rows and bytes are proven to be within bounds, else ``df`` unchanged.
 
     Use on materialised tables (the count is then a cheap scan); for a lazily
     derived side leave the decision to AQE, which measures the built side at
     run time.
     """
-    return F.broadcast(df) if row_count_at_most(df, bound) else df
+    return F.broadcast(df) if fits(df, bound) else df
 
 
-def hot_keys(big: DataFrame, key: str, fraction: float) -> list:
-    """Keys holding at least ``fraction`` of ``big``'s rows.
+def salt_counts(big: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """(key, salts) of the keys with more than ``rows_per_task`` rows: tasks enough for all of them.
 
-    Counted with a map-side-combined aggregate; at most ``1 / fraction`` keys
-    can qualify, so the list that reaches the driver has a proven bound.
+    Counted with a map-side-combined aggregate. It stays a table: how many keys are hot
+    follows the data.
     """
-    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = counts.filter(F.col("_n") >= total * F.lit(fraction)).select(key)
-    return [r[0] for r in hot.limit(int(1 / fraction) + 1).collect() if r[0] is not None]
+    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
+    return counts.select(key, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))
 
 
-def salted_join(big: DataFrame, dim: DataFrame, key: str, salts: int = 32,
-                fraction: float = 0.01) -> DataFrame:
+def salted_join(big: DataFrame, dim: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Inner equi-join of a large side with a dimension when one key may hold
     a large share of the large side's rows.
 
-    Rows of hot keys get a salt in [0, salts) from a hash of the row itself
-    and the dimension rows of those keys are replicated once per salt, so a
-    hot key is joined by ``salts`` tasks; every other key keeps salt 0 and is
-    not replicated. The salt is deterministic, so a map task recomputed after
-    a lost executor sends every row to the same reducer as before.
+    A key with more than ``rows_per_task`` rows is dealt to as many tasks as its counted rows
+    need: its rows get a salt from a hash of the row itself, and its dimension rows are
+    replicated once per salt. Every other key keeps salt 0 and is not replicated. The
+    salt is deterministic, so a map task recomputed after a lost executor sends every
+    row to the same reducer as before. The table of hot keys, written once, has at most
+    ``rows / rows_per_task`` rows and is broadcast after a check of its size.
     """
-    hot = hot_keys(big, key, fraction)
-    if not hot:
+    spark = big.sparkSession
+    path = scratch_path(spark, "hot-keys")
+    salt_counts(big, key, rows_per_task).write.parquet(path)
+    hot = spark.read.parquet(path)
+    if hot.isEmpty():
         return big.join(dim, key)
-    is_hot = F.col(key).isin(*hot)
+    hot = bounded_broadcast(hot)
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    big_s = big.withColumn("_salt", F.when(is_hot, F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0)))
-    dim_s = dim.withColumn("_salt", F.explode(
-        F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    big_s = big.join(hot, key, "left").withColumn("_salt", F.pmod(row_hash, salts).cast("int")).drop("_salts")
+    dim_s = dim.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
     return big_s.join(dim_s, [key, "_salt"]).drop("_salt")
 
 
-def join_dimension(big: DataFrame, dim: DataFrame, key: str,
-                   bound: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast join when a count proves the dimension small, else a salted shuffle join."""
-    if row_count_at_most(dim, bound):
+def join_dimension(big: DataFrame, dim: DataFrame, key: str, bound: int = DEFAULT_BROADCAST_ROWS,
+                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Broadcast join when the dimension is proven small, else a salted shuffle join."""
+    if fits(dim, bound):
         return big.join(F.broadcast(dim), key)
-    return salted_join(big, dim, key)
+    return salted_join(big, dim, key, rows_per_task)

@@ -10,8 +10,9 @@ def small_report(df: DataFrame, *order) -> DataFrame:
     channels, months, a LIMIT) inside one task.
 
     A global ``orderBy`` range-partitions its input, which costs a sampling
-    job plus a shuffle; for a few dozen aggregated rows, one task sorting
-    them is cheaper, and the rows all go to the caller anyway. Do not use it
-    for results that grow with the data.
+    job; for a few dozen aggregated rows one shuffle into one sorting task is
+    cheaper, and the rows all go to the caller anyway. The shuffle stands
+    behind the aggregate, so the aggregate itself keeps all of its tasks. Do
+    not use it for results that grow with the data.
     """
-    return df.coalesce(1).sortWithinPartitions(*order)
+    return df.repartition(1).sortWithinPartitions(*order)

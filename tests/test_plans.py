@@ -110,15 +110,15 @@ def test_hot_customer_shuffle_join_keeps_every_row(spark):
 
 
 def test_salted_join_spreads_a_hot_key(spark):
-    from orderloom.operators.joins import hot_keys, join_dimension
+    from orderloom.operators.joins import join_dimension, salt_counts
 
     n = 60000
     big = spark.range(n).select(
         F.col("id"),
         F.when(F.col("id") % 3 == 0, F.lit("C-HOT")).otherwise(F.concat(F.lit("C"), (F.col("id") % 5000).cast("string"))).alias("customer_id"))
     dim = big.select("customer_id").distinct().withColumn("segment", F.lit("Consumer"))
-    assert hot_keys(big, "customer_id", 0.01) == ["C-HOT"]
-    joined = join_dimension(big, dim, "customer_id", bound=10)     # too big to broadcast
+    assert [tuple(r) for r in salt_counts(big, "customer_id", 5000).collect()] == [("C-HOT", 4)]
+    joined = join_dimension(big, dim, "customer_id", bound=10, rows_per_task=5000)     # too big to broadcast
     per_task = joined.filter("customer_id = 'C-HOT'").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in per_task) == n // 3            # whole: every hot row joined once
     assert len(per_task) > 1                                       # and spread over several tasks
@@ -150,3 +150,51 @@ def test_aqe_splits_a_hot_key_in_a_shuffle_join(spark):
             else:
                 spark.conf.set(k, v)
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_reports_sort_behind_the_final_aggregate(spark):
+    """The last aggregate keeps its own tasks: an exchange stands between it and the one-task sort."""
+    from orderloom.plans.reports import small_report
+    df = small_report(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "k")
+    lines = df._jdf.queryExecution().sparkPlan().toString().splitlines()
+    nodes = [next(w for w in ("Sort", "RoundRobin", "SinglePartition", "Repartition", "Exchange", "HashAggregate", "Coalesce", "Range", "Project") if w in x) for x in lines if any(
+        w in x for w in ("Sort", "Exchange", "Repartition", "HashAggregate", "Coalesce", "Range", "Project"))]
+    assert "Coalesce" not in nodes
+    assert nodes.index("Sort") < nodes.index("SinglePartition") < nodes.index("HashAggregate")
+    assert [r["count"] for r in df.collect()] == [143] * 6 + [142]
+
+
+def test_size_checks_do_not_gather_rows(spark):
+    from orderloom.operators.joins import fits
+    df = spark.range(1000).selectExpr("id", "repeat('x', 100) AS s")
+    assert fits(df, 1000) and not fits(df, 999) and not fits(df, 1000, bytes_=100_000)
+
+
+def test_accepted_rows_push_their_rules_down(spark):
+    from orderloom.operators import quality
+    from orderloom.plans.registry import warehouse
+    from orderloom.session import scratch_path
+    from conftest import SF_SMALL
+    path = scratch_path(spark, "stg")
+    warehouse(spark, SF_SMALL).stg_orders.write.parquet(path)
+    stored = spark.read.parquet(path)
+    kept = quality.accepted(stored)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThan(unit_price,0.0)" in pushed and "IsNotNull(order_date)" in pushed
+    assert kept.count() + quality.rejected(stored).count() == stored.count()
+
+
+def test_slices_prune_months_of_the_export(spark):
+    from orderloom.plans import slices
+    from orderloom.plans.registry import export_sales_parquet
+    from conftest import SF_SMALL
+    sales = export_sales_parquet(spark, SF_SMALL)
+    s = slices.as_slice("1995-03-05", "1995-04-20", ["North", "West"], [r.category for r in sales.select("category").distinct().collect()][:3])
+    part = slices.slice_filter(sales, s)
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "year" in plan.split("PartitionFilters:")[1].split("]")[0]
+    days = sales.selectExpr("to_date(order_date) AS d", "region", "category").collect()
+    assert part.count() == sum(s.date_from <= r.d <= s.date_to and r.region in s.regions and r.category in s.categories for r in days)
