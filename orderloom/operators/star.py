@@ -102,8 +102,7 @@ def fact_sales(accepted: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame, jo
     return line_amounts(joined).withColumn("date_key", date_key("order_date")).select(*FACT_COLUMNS)
 
 
-def enriched_from_fact(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame) -> DataFrame:
-    """The view as the reference defines it: fact ⋈ dims on surrogate keys."""
-    return (fact.join(dim_cust, "customer_key")
-                .join(dim_prod, "product_key")
-                .select(*ENRICHED_COLUMNS))
+def enriched_from_fact(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame, join=None) -> DataFrame:
+    """The view as the reference defines it: fact ⋈ dims on surrogate keys, by ``join`` (see ``fact_sales``)."""
+    join = join or (lambda big, dim, key: big.join(dim, key))
+    return join(join(fact, dim_cust, "customer_key"), dim_prod, "product_key").select(*ENRICHED_COLUMNS)

@@ -17,6 +17,7 @@ from orderloom.functions import (
     trimmed, try_double, try_integer, try_timestamp,
 )
 from orderloom.operators.cleaning import dedupe_by_key
+from orderloom.operators.joins import salted_join
 from orderloom.plans import analytics, olap, slices, storage, views
 from orderloom.plans.registry_more import more_queries
 from orderloom.plans.warehouse import Warehouse
@@ -138,9 +139,64 @@ def export_result_csv(spark, sf_dir):
     return spark.read.schema(schema).options(**sources.RESULT_CSV_READ).csv(path)
 
 
+# -- the stored star: built once per query, read by surrogate keys ------------
+
+def stored(spark: SparkSession, sf_dir: str):
+    return warehouse(spark, sf_dir).materialize()
+
+
+def _on_stored(fn) -> Query:
+    return lambda spark, sf_dir: fn(stored(spark, sf_dir))
+
+
+def salted_sales(wh) -> DataFrame:
+    """The view through the salted shuffle join, whatever the size of the dimensions."""
+    return wh.enriched(lambda big, dim, key: salted_join(big, dim, key, rows_per_task=5_000))
+
+
+def _json_record(record: DataFrame) -> DataFrame:
+    """K5 / K6: a one-row result written as JSON and read back."""
+    path = scratch_path(record.sparkSession, "record_json")
+    sinks.write_record_json(record, path)
+    return record.sparkSession.read.schema(record.schema).json(path)
+
+
+# -- slices ------------------------------------------------------------------
+
+def narrow_slice(sales: DataFrame) -> slices.Slice:
+    """A year and a half of days, two regions, the first three categories."""
+    names = [r[0] for r in sales.select("category").where("category IS NOT NULL").distinct().orderBy("category").limit(3).collect()]
+    return slices.as_slice("1996-03-05", "1997-04-20", ["North", "West"], names)
+
+
+def _on_narrow_slice(fn) -> Query:
+    def run(spark, sf_dir):
+        sales = _sales(spark, sf_dir)
+        return fn(sales, narrow_slice(sales))
+    return run
+
+
+def empty_slice_kpis(spark, sf_dir):
+    return slices.slice_kpis(_sales(spark, sf_dir), slices.as_slice("1801-01-01", "1801-12-31", ["North"], ["Books"]))
+
+
 def batch_queries() -> dict[str, Query]:
     w = warehouse
-    return {
+    narrow = {f"narrow_{fn.__name__}": _on_narrow_slice(fn) for fn in (
+        slices.slice_filter, slices.slice_kpis, slices.slice_monthly, slices.slice_category,
+        slices.slice_region_channel, slices.slice_top_products)}
+    by_key = {
+        "stored_sales_enriched": _on_stored(lambda wh: wh.sales_enriched),
+        "stored_fact_sales": _on_stored(lambda wh: wh.fact_sales),
+        "stored_region_category": _on_stored(lambda wh: storage.region_category_revenue(wh.sales_enriched)),
+        "salted_region_category": _on_stored(lambda wh: storage.region_category_revenue(salted_sales(wh))),
+        "stored_quality_report": _on_stored(lambda wh: wh.quality_report()),
+        "stored_kpi_summary": _on_stored(lambda wh: analytics.kpi_summary(wh.sales_enriched)),
+        "export_quality_json": _on_stored(lambda wh: _json_record(wh.quality_report())),
+        "export_kpi_json": _on_stored(lambda wh: _json_record(analytics.kpi_summary(wh.sales_enriched))),
+        "empty_slice_kpis": empty_slice_kpis,
+    }
+    return narrow | by_key | {
         "clean_trim": clean_trim,
         "clean_blank_to_null": clean_blank_to_null,
         "clean_canonical_labels": clean_canonical_labels,

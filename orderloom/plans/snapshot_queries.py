@@ -13,9 +13,15 @@ from orderloom.sources import files as sources
 from orderloom.sources import testmap
 
 
-@lru_cache(maxsize=8)
 def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """The landed documents of these files; landed anew if a table changes."""
     configure(spark)
+    versions = tuple(testmap.table_version(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))
+    return _landed_version(spark, sf_dir, versions)
+
+
+@lru_cache(maxsize=8)
+def _landed_version(spark: SparkSession, sf_dir: str, versions: tuple[str, ...]) -> str:
     return testmap.land_snapshots(spark, sf_dir, scratch_path(spark, "snapshots"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators import cleaning, quality, star
-from orderloom.operators.joins import bounded_broadcast, join_dimension
+from orderloom.operators.joins import join_dimension
 from orderloom.session import scratch_path
 
 
@@ -151,10 +151,12 @@ class StoredWarehouse:
 
     @cached_property
     def sales_enriched(self) -> DataFrame:
-        # dims are stored tables: broadcast each only after a count proves it small
-        return star.enriched_from_fact(self.fact_sales,
-                                       bounded_broadcast(self.dim_customer),
-                                       bounded_broadcast(self.dim_product))
+        # dims are stored tables: each is broadcast only if proven small, else joined with salted hot keys
+        return self.enriched(join_dimension)
+
+    def enriched(self, join) -> DataFrame:
+        """The view with ``join(big, dim, key)`` for both dimensions."""
+        return star.enriched_from_fact(self.fact_sales, self.dim_customer, self.dim_product, join)
 
     def quality_report(self) -> DataFrame:
         # the raw feed is not kept; its row count was stored at build time
@@ -163,15 +165,17 @@ class StoredWarehouse:
                                       self.rejected_orders, self.dim_customer, self.dim_product)
 
 
-def register_views(wh: "Warehouse | StoredWarehouse", prefix: str = "") -> list[str]:
+def register_views(wh: "Warehouse | StoredWarehouse", prefix: str = "", order_events: DataFrame | None = None) -> list[str]:
     """Register the reference's table and view names as temp views for ``spark.sql``.
 
     Tables: stg_orders, rejected_orders, dim_product, dim_customer, dim_date,
     fact_sales. Views: vw_sales_enriched, vw_daily_revenue, vw_monthly_growth,
-    vw_repeat_customer_pct. All stay lazy; SQL over them is planned by Catalyst
+    vw_repeat_customer_pct; with the stored ``order_events`` also these and
+    vw_events_by_minute. All stay lazy; SQL over them is planned by Catalyst
     together with the view bodies.
     """
     from orderloom.plans import views
+    from orderloom.streaming import metrics
 
     sales = wh.sales_enriched
     frames = {
@@ -186,6 +190,8 @@ def register_views(wh: "Warehouse | StoredWarehouse", prefix: str = "") -> list[
         "vw_monthly_growth": views.monthly_growth(sales),
         "vw_repeat_customer_pct": views.repeat_customer_pct(sales),
     }
+    if order_events is not None:
+        frames |= {"order_events": order_events, "vw_events_by_minute": metrics.events_by_minute(order_events)}
     names = []
     for name, df in frames.items():
         df.createOrReplaceTempView(prefix + name)

@@ -214,3 +214,11 @@ def land_snapshots(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Write the snapshot documents as NDJSON (one document per line)."""
     snapshot_documents(spark, sf_dir).write.mode("overwrite").json(path)
     return path
+
+
+def table_version(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Changes whenever a file of the table does (path, size, time; one row per file is summed)."""
+    files = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    n, total = files.agg(F.count("*"), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()
+    return f"{n}:{total}"
