@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.functions import exact_sum, money_round, realized, realized_revenue, return_rate
-from orderloom.plans import olap, views
+from orderloom.functions import RETURNED_STATUS, exact_sum, money_round, percent, realized, realized_revenue, return_rate
+from orderloom.plans import views
 from orderloom.plans.reports import small_report
+from orderloom.session import scratch_path
 
 
 def category_revenue(sales: DataFrame) -> DataFrame:
@@ -84,30 +85,45 @@ def _first(df: DataFrame, value: str, *order) -> F.Column:
     return df.orderBy(*order).limit(1).select(value).scalar()
 
 
+def kpi_base(sales: DataFrame) -> DataFrame:
+    """Per customer, label and order: earned revenue (cents stay exact), lines earned, returned and all.
+
+    Written once under the shared folder, so that every figure of the KPI record reads this
+    and the sales are read once.
+    """
+    base = sales.groupBy("customer_id", "customer_segment", "region", "category", "order_id").agg(
+        realized_revenue().alias("earned"), F.count_if(realized()).alias("earned_lines"),
+        F.count_if(F.col("order_status") == F.lit(RETURNED_STATUS)).alias("returned_lines"),
+        F.count(F.lit(1)).alias("lines"))
+    path = scratch_path(sales.sparkSession, "kpi_base")
+    base.write.parquet(path)
+    return sales.sparkSession.read.schema(base.schema).parquet(path)
+
+
 def kpi_summary(sales: DataFrame) -> DataFrame:
     """The KPI record: one row of totals plus leaders and the grouping-set size.
 
-    Totals are one aggregate over the sales; every other figure is a scalar
-    subquery over its own small result (no cross join, nothing collected).
+    Every figure is a scalar subquery over its own small result of ``kpi_base``
+    (no cross join, nothing collected).
     """
-    category = category_performance(sales)
-    region = region_performance(sales)
-    customers = top_customers(sales)
-    repeat = views.repeat_customer_pct(sales)
-    grouping_rows = olap.grouping_sets_labeled(sales).agg(F.count(F.lit(1)))
-    totals = sales.agg(
-        money_round(realized_revenue()).alias("revenue"),
+    base = kpi_base(sales)
+    earned = exact_sum("earned")
+    by = lambda *keys: base.groupBy(*keys).agg(earned.alias("exact"), money_round(earned).alias("revenue"))
+    repeat = views.repeat_share(base.filter("earned_lines > 0"))
+    grouping_rows = base.select("region", "category").distinct().cube("region", "category").count().agg(F.count(F.lit(1)))
+    earned_lines = F.sum("earned_lines")
+    totals = base.agg(
+        money_round(earned).alias("revenue"),
         F.count_distinct("order_id").alias("orders"),
         F.count_distinct("customer_id").alias("customers"),
-        money_round(exact_sum(F.when(realized(), F.col("net_revenue"))) / F.count_if(realized()).cast("double"))
-        .alias("avg_line_value"),
-        money_round(return_rate()).alias("return_rate_pct"),
+        money_round(F.when(earned_lines > 0, earned) / earned_lines.cast("double")).alias("avg_line_value"),
+        money_round(percent(F.sum("returned_lines"), F.sum("lines"))).alias("return_rate_pct"),
     )
     return totals.select(
         "*",
         repeat.select("repeat_customer_pct").scalar().alias("repeat_customer_pct"),
-        _first(category, "category", F.desc("revenue"), F.asc_nulls_last("category")).alias("top_category"),
-        _first(region, "region", F.desc("revenue"), F.asc_nulls_last("region")).alias("top_region"),
-        _first(customers, "customer_id", "revenue_rank", "customer_id").alias("top_customer"),
+        _first(by("category"), "category", F.desc("revenue"), F.asc_nulls_last("category")).alias("top_category"),
+        _first(by("region"), "region", F.desc("revenue"), F.asc_nulls_last("region")).alias("top_region"),
+        _first(by("customer_id", "customer_segment", "region"), "customer_id", F.desc("exact"), "customer_id").alias("top_customer"),
         grouping_rows.scalar().alias("grouping_set_rows"),
     )

@@ -40,9 +40,12 @@ def monthly_growth(sales: DataFrame) -> DataFrame:
 
 def repeat_customer_pct(sales: DataFrame) -> DataFrame:
     """Customers with realized orders, those with more than one, and the share."""
-    per_customer = (sales.filter(realized())
-                         .groupBy("customer_id")
-                         .agg(F.count_distinct("order_id").alias("order_count")))
+    return repeat_share(sales.filter(realized()))
+
+
+def repeat_share(orders: DataFrame) -> DataFrame:
+    """The same over rows that all belong to realized orders."""
+    per_customer = orders.groupBy("customer_id").agg(F.count_distinct("order_id").alias("order_count"))
     repeat = F.count_if(F.col("order_count") > 1)
     return per_customer.agg(
         F.count(F.lit(1)).alias("purchasing_customers"),

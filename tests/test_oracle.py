@@ -1,6 +1,7 @@
 """Every registered query equals its DuckDB oracle (sf0.001, whole tables)."""
 
 import math
+import re
 
 import pytest
 
@@ -46,7 +47,8 @@ def test_query_matches_oracle(spark, oracle_con, name):
     got = df.collect()
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(got) >= 0
+        # only the training-data queries may lack SQL; tests/llm holds these against brute force
+        assert re.match(r"op\d+_|pipeline$", name) and got
         return
     res = oracle_con.execute(sql)
     ocols = [d[0] for d in res.description]
