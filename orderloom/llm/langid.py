@@ -18,7 +18,6 @@ words are scored whole; other columns are kept.
 from __future__ import annotations
 
 import functools
-import math
 import re
 from collections import Counter
 
@@ -33,7 +32,9 @@ from orderloom.llm.common import BATCH_ROWS, map_texts
 UNKNOWN = "und"
 SMOOTHING = 0.5       # added to the count of every piece
 LONGEST_PIECE = 12    # letters
-CACHED_WORDS = 400_000
+UNKNOWN_LETTER = 1e-6
+SCALE = 20.0
+CACHED_WORDS = 500_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -51,8 +52,8 @@ def vocabulary(path: str) -> dict[str, int]:
     return {p: i for i, p in enumerate(sorted(p for p in pieces if p.isalpha() and len(p) <= LONGEST_PIECE))}
 
 
-def text_words(chunk: str) -> list[str]:
-    return LETTERS.findall(chunk.lower())
+def text_words(text: str) -> list[str]:
+    return LETTERS.findall(text.lower())
 
 
 def longest_pieces(word: str, pieces: dict[str, int]) -> list[int]:
@@ -72,12 +73,12 @@ class _PieceCache(dict):
     def __init__(self, pieces):
         self.pieces = pieces
 
-    def __missing__(self, chunk):
-        found = [p for w in text_words(chunk) for p in longest_pieces(w, self.pieces)]
+    def __missing__(self, word):
+        found = longest_pieces(word, self.pieces)
         if len(self) > CACHED_WORDS:
             self.clear()
-        if len(chunk) <= 64:
-            self[chunk] = found
+        if len(word) <= 64:
+            self[word] = found
         return found
 
 
@@ -99,7 +100,7 @@ def piece_counts(rows: DataFrame, vocabulary_path: str) -> DataFrame:
         known, words = _piece_cache(vocabulary_path), {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words.setdefault(lang, Counter()).update(text.split())
+                words.setdefault(lang, Counter()).update(text_words(text))
             if sum(map(len, words.values())) > CACHED_WORDS // 2:
                 yield emit(_total(words, known))
                 words = {}
@@ -112,9 +113,11 @@ def piece_counts(rows: DataFrame, vocabulary_path: str) -> DataFrame:
 def _total(words: dict[str, Counter], known: _PieceCache) -> dict:
     total: dict = {}
     for lang, counter in words.items():
-        for chunk, n in counter.items():
-            for p in known[chunk]:
-                total[lang, p] = total.get((lang, p), 0) + n
+        own: dict = {}
+        for word, n in counter.items():
+            for p in known[word]:
+                own[p] = own.get(p, 0) + n
+        total |= {(lang, p): n for p, n in own.items()}
     return total
 
 
@@ -140,71 +143,99 @@ def learn(rows: DataFrame, vocabulary_path: str | None = None) -> LanguageModel:
     return LanguageModel(langs, counts, path)
 
 
+class Trie:
+    """The vocabulary as sorted edges (node * letters + letter -> node), to be walked by many words at once."""
+
+    def __init__(self, pieces: dict[str, int]):
+        self.letters = {c: i + 1 for i, c in enumerate(sorted(set("".join(pieces))))}
+        self.width = len(self.letters) + 1
+        edges, piece_at = {}, [-1]
+        for piece, number in pieces.items():
+            node = 0
+            for c in piece:
+                key = node * self.width + self.letters[c]
+                if key not in edges:
+                    edges[key] = len(piece_at)
+                    piece_at.append(-1)
+                node = edges[key]
+            piece_at[node] = number
+        self.keys = np.array(sorted(edges), np.int64)
+        self.nodes = np.array([edges[k] for k in self.keys.tolist()], np.int64)
+        self.piece_at = np.array(piece_at)
+
+    def codes(self, words: list[str]) -> np.ndarray:
+        """(words, longest) letters; 0 stands for letters outside the vocabulary and for the end."""
+        longest = max(map(len, words))
+        get = self.letters.get
+        return np.array([[get(c, 0) for c in w.ljust(longest, "\0")] for w in words], np.int64)
+
+
 class Scorer(dict):
-    """chunk -> row of ``table``: log likelihoods by language, and the number of letters."""
+    """word -> row of ``table``: log likelihoods by language, and the number of letters."""
 
     def __init__(self, model: LanguageModel):
         pieces = vocabulary(model.path)
-        self.n = len(model.langs)
+        self.n, self.trie = len(model.langs), Trie(pieces)
         #: probabilities are scaled by a constant per letter so that sums of short words stay near 1
-        self.scale = 20.0
-        scaled = model.probability.T * self.scale ** np.array([len(p) for p in pieces])[:, None]
-        self.pieces = dict(zip(pieces, map(tuple, scaled.tolist())))
-        self.unknown = (1e-6 * self.scale,) * self.n
-        self.words: dict[str, tuple] = {}
+        self.scaled = model.probability.T * SCALE ** np.array([len(p) for p in pieces])[:, None]
         self.table = np.zeros((1024, self.n + 1))
 
-    def word(self, word: str) -> tuple:
-        """Log of the sum over all segmentations, by language (forward algorithm)."""
-        if (known := self.words.get(word)) is not None:
-            return known
-        pieces, size, langs = self.pieces, len(word), range(self.n)
-        alpha = [(1.0,) * self.n]
-        logs = [0.0] * self.n
-        for end in range(1, size + 1):
-            total = [0.0] * self.n
-            for k in range(1, min(end, LONGEST_PIECE) + 1):
-                p = pieces.get(word[end - k:end])
-                if p is None:
-                    if k > 1:
-                        continue
-                    p = self.unknown
-                before = alpha[-k]
-                for i in langs:
-                    total[i] += before[i] * p[i]
-            alpha.append(tuple(total))
-            if end % 16 == 0:  # keep long words within a double's range
-                alpha = [tuple(a[i] / total[i] for i in langs) for a in alpha[-LONGEST_PIECE:]]
-                for i in langs:
-                    logs[i] += math.log(total[i])
-        found = tuple(logs[i] + math.log(alpha[-1][i]) - size * math.log(self.scale) for i in langs)
-        if size <= 64:
-            self.words[word] = found
-        return found
-
-    def __missing__(self, chunk):
-        row = len(self)
-        if row >= len(self.table):
+    def score_words(self, words: list[str]) -> np.ndarray:
+        """(words, languages): log of the sum over all segmentations, by the forward algorithm.
+
+        ``alpha[:, at]`` sums the ways to reach a letter; the words walk the trie from
+        there together. Sums are brought back to 1 every 16 letters.
+        """
+        trie, codes = self.trie, self.trie.codes(words)
+        lengths = np.array([len(w) for w in words])
+        alpha = np.zeros((len(words), codes.shape[1] + LONGEST_PIECE + 1, self.n))
+        alpha[:, 0] = 1.0
+        logs = np.zeros((len(words), self.n))
+        for at in range(codes.shape[1]):
+            rows = np.flatnonzero(lengths > at)
+            if at and at % 16 == 0:
+                now = alpha[rows, at]
+                alpha[rows, at:at + LONGEST_PIECE] /= now[:, None]
+                logs[rows] += np.log(now)
+            node, alone = np.zeros(len(rows), np.int64), rows
+            for k in range(min(LONGEST_PIECE, codes.shape[1] - at)):
+                key = node * trie.width + codes[rows, at + k]
+                place = np.minimum(np.searchsorted(trie.keys, key), len(trie.keys) - 1)
+                on = trie.keys[place] == key
+                rows, node = rows[on], trie.nodes[place[on]]
+                piece = trie.piece_at[node]
+                whole = piece >= 0
+                ends = rows[whole]
+                alpha[ends, at + k + 1] += alpha[ends, at] * self.scaled[piece[whole]]
+                if k == 0:  # a letter that is no piece costs the same in every language
+                    other = np.setdiff1d(alone, ends, assume_unique=True)
+                    alpha[other, at + 1] += alpha[other, at] * (UNKNOWN_LETTER * SCALE)
+                if not len(rows):
+                    break
+        return logs + np.log(alpha[np.arange(len(words)), lengths]) - lengths[:, None] * np.log(SCALE)
+
+    def learn(self, words: set[str]) -> None:
+        """Rows for words that have none."""
+        new, at = sorted(words, key=len), 0
+        while len(self) + len(new) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        sums, letters = [0.0] * self.n, 0
-        for w in text_words(chunk):
-            letters += len(w)
-            for i, x in enumerate(self.word(w)):
-                sums[i] += x
-        self.table[row] = (*sums, letters)
-        self[chunk] = row
-        return row
-
-    def log_likelihoods(self, text: str) -> np.ndarray:
-        """By language, and at the end the number of letters; over all words of the text."""
-        rows = [self[c] for c in text.split()]
-        return self.table[rows].sum(axis=0)
-
-    def trim(self) -> None:
-        if len(self) > CACHED_WORDS or len(self.words) > CACHED_WORDS:
+        while at < len(new):  # words of like length together
+            group = new[at:at + max(1, min(8192, (1 << 18) // len(new[at])))]
+            group = group[:sum(len(w) <= 2 * len(group[0]) + 8 for w in group)]
+            first = len(self)
+            self.table[first:first + len(group), :-1] = self.score_words(group)
+            self.table[first:first + len(group), -1] = [len(w) for w in group]
+            self.update(zip(group, range(first, first + len(group))))
+            at += len(group)
+
+    def log_likelihoods(self, texts: list[str]) -> np.ndarray:
+        """(texts, languages and at the end the number of letters), over all words of each text."""
+        if len(self) > CACHED_WORDS:
             self.clear()
-            self.words.clear()
             self.table = np.zeros((1024, self.n + 1))
+        split = [text_words(t) for t in texts]
+        self.learn(set().union(*split).difference(self))
+        return np.array([self.table[np.fromiter(map(self.__getitem__, words), np.int64, len(words))].sum(axis=0) for words in split])
 
 
 _SCORERS: dict = {}
@@ -228,17 +259,14 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 
         def work(texts):
             pred, score = [], []
-            scorer.trim()
-            for text in texts:
-                found = scorer.log_likelihoods(text.decode("utf-8", "replace")) if langs else np.zeros(1)
-                logs = found[:-1]
-                if not found[-1] or not len(logs):
+            for *logs, letters in scorer.log_likelihoods([t.decode("utf-8", "replace") for t in texts]):
+                if not letters or not langs:
                     pred.append(UNKNOWN)
                     score.append(0.0)
                     continue
-                best = int(logs.argmax())
+                best = int(np.argmax(logs))
                 pred.append(langs[best])
-                score.append(float(1.0 / np.exp(logs - logs[best]).sum()))
+                score.append(float(1.0 / np.exp(np.array(logs) - logs[best]).sum()))
             return [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
 
         return work
