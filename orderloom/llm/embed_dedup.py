@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import id_order, stored
+from orderloom.llm.common import arrow_rows, id_order, stored
 from orderloom.llm.components import connected_components
 
 COSINE = 0.95
@@ -267,8 +267,7 @@ def join_intervals(a: Interval, b: Interval, cosine: float) -> tuple[dict, list]
 def joined_blocks(blocks: DataFrame, pairs: DataFrame, axes: dict, cosine: float, wide: bool,
                   block: int = BLOCK, leaf: int = LEAF) -> DataFrame:
     """(a, b, n): rows with b are links of a spanning forest, rows without it add n to the links of the vector at position a."""
-    spark = blocks.sparkSession
-    shared = spark.sparkContext.broadcast(axes)
+    shared = blocks.sparkSession.sparkContext.broadcast(axes)
     names = ["block", "reps", "ns", "sizes", "vectors"]
 
     def run(batches):
@@ -287,7 +286,6 @@ def joined_blocks(blocks: DataFrame, pairs: DataFrame, axes: dict, cosine: float
     data = blocks.select("block", F.struct(*names).alias("data"))
     both = (pairs.join(data.toDF("a", "x"), "a")
             .join(data.toDF("b", "y"), "b").select("a", "b", "x", "y"))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # a row holds two blocks
     both = both.repartition(F.xxhash64("a", "b"))
     return both.mapInArrow(run, "a bigint, b bigint, n bigint")
 
@@ -306,7 +304,9 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = COSINE, id_col: str =
     wide = vectors.schema[vector_col].dataType.elementType.simpleString() == "double"
     sequence = stored(ego_sequence(classes, axes, eps, block), "ego-order")
     blocks = stored(block_table(sequence, axes), "ego-blocks")
-    found = stored(joined_blocks(blocks, near_block_pairs(blocks, eps), axes, cosine, wide, block, leaf), "ego-links")
+    pairs = near_block_pairs(blocks, eps)
+    with arrow_rows(vectors.sparkSession, 2):  # a row holds two blocks
+        found = stored(joined_blocks(blocks, pairs, axes, cosine, wide, block, leaf), "ego-links")
     copies = named.join(classes.select("name", "rep", "n"), "name").select("id", "name", "rep", "n")
     links = found.where("b IS NOT NULL").select("a", "b").union(copies.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")))
     component = connected_components(links).toDF("id", "component")
