@@ -65,5 +65,83 @@ SELECT doc_id, size, source_size, target, (size * reps)::BIGINT AS taken FROM mi
 """
 
 
+#: smallest node reachable over the table expression links(a, b), both directions given
+REACHED = """
+reach(node, other) AS (
+    SELECT a, b FROM links
+    UNION
+    SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.other
+), smallest AS (
+    SELECT node, least(node, min(other)) AS component_id FROM reach GROUP BY node
+)
+"""
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v, row_number() OVER () AS r FROM embeddings
+), usable AS (
+    SELECT * FROM vectors WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       AND list_dot_product(v, v) > 0
+), pairs AS (
+    SELECT x.r AS rx, x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.r <> y.r AND len(x.v) = len(y.v)
+    WHERE list_dot_product(x.v, y.v) / (sqrt(list_dot_product(x.v, x.v)) * sqrt(list_dot_product(y.v, y.v))) >= 0.95
+), links AS (SELECT DISTINCT a, b FROM pairs),
+""" + REACHED + """
+, counted AS (SELECT rx AS r, count(*) AS n FROM pairs GROUP BY rx)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM vectors LEFT JOIN counted USING (r) LEFT JOIN smallest ON node = vec_id
+"""
+
+NEAR_DEDUP = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, row_number() OVER () AS r,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM split WHERE len(w) > 0)
+), sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+shared AS (
+    SELECT x.r AS rx, y.r AS ry, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.r < y.r GROUP BY ALL
+), close_pairs AS (
+    SELECT rx, ry FROM shared JOIN sizes x ON x.r = rx JOIN sizes y ON y.r = ry
+    WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)
+), both_ways AS (SELECT rx, ry FROM close_pairs UNION SELECT ry, rx FROM close_pairs),
+links AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM both_ways JOIN split x ON x.r = rx JOIN split y ON y.r = ry),
+""" + REACHED + """
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       coalesce(component_id, doc_id) = doc_id AS kept
+FROM split LEFT JOIN sizes USING (r) LEFT JOIN smallest ON node = doc_id
+"""
+
+DECONTAMINATE = r"""
+WITH cut AS (
+    SELECT doc_id, row_number() OVER () AS r,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+    FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)
+), places AS (
+    SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
+    FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM cut, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)
+), found AS (SELECT r, k, i, item_id FROM places JOIN windows USING (k, s)),
+hits AS (SELECT r, count(DISTINCT word) AS n FROM (SELECT r, unnest(range(i, i + k)) AS word FROM found) GROUP BY r),
+owners AS (
+    SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hit, coalesce(owners.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
+FROM cut LEFT JOIN hits USING (r) LEFT JOIN owners USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": LINE_DEDUP, "op6_mixing": MIXING}
+    return {"op2_embedding_dedup": EMBEDDING_DEDUP, "op4_near_dedup": NEAR_DEDUP, "op5_line_dedup": LINE_DEDUP,
+            "op6_mixing": MIXING, "op9_decontaminate": DECONTAMINATE}
