@@ -11,8 +11,8 @@ file, so the offset in the whole corpus is a sum over one row per file.
 
 Text is cut at spaces and newlines before it meets the tokenizer: its
 pre-tokenizer never joins characters across white space, so the ids of a text
-are the ids of its chunks in a row. Each distinct chunk of a batch is encoded
-once; a bounded cache keeps chunks between batches.
+are the ids of its chunks in a row. Only words that are not in a worker's bounded
+cache are encoded.
 
 Defined cases: a null or empty text is the end id alone; a null id sorts after
 all others; rows with one id follow each other by the hash of their text; an
@@ -24,9 +24,11 @@ from __future__ import annotations
 import functools
 import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,8 +39,10 @@ from orderloom.session import scratch_path
 END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
-CACHED_CHUNKS = 400_000
+CACHED_WORDS = 600_000
+JOINED_BYTES = 6 << 20
 CACHED_CHARS = 64
+TAIL = ".,!?;:*%$#&|"
 
 SCHEMA = "doc_id bigint, part int, first bigint, n_tokens bigint, ids array<int>"
 
@@ -49,31 +53,76 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit bytes."""
+    """Ids of whole texts. Words are split, numbered and put together again by Arrow, in columns;
+    Python sees each distinct chunk of a batch once, and the tokenizer each word not yet cached."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {"": b""}
-
-    def _encoded(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHED_CHUNKS:
-            self.cache = {"": b""}
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = [c for c in set().union(*split).difference(self.cache)]
-        known = self.cache
-        known.update(zip(new, self._encoded(new)))
-        out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
-        for c in new:
-            if len(c) > CACHED_CHARS:
-                del known[c]
+        self.words: dict[str, bytes] = {"": b""}
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk as 32-bit bytes."""
+        words = self.words
+        get, out, cut = words.get, [], []
+        for i, c in enumerate(chunks):
+            found = get(c)
+            if found is None:
+                cut.append((i, *word_and_tail(c)))
+            out.append(found)
+        new = list({w for _, word, tail in cut for w in (word, tail)}.difference(words))
+        for w, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            words[w] = array("I", x.ids).tobytes()
+        for i, word, tail in cut:
+            out[i] = words[word] + words[tail]
+        for w in new:
+            if len(w) > CACHED_CHARS:
+                del words[w]
+        if len(words) > CACHED_WORDS:
+            self.words = {"": b""}
         return out
 
+    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where each text's ids end, and the ids of all texts in a row."""
+        chunks = pc.split_pattern(pa.array([folded(t).replace("\n", " ") for t in texts], pa.large_string()), " ")
+        coded = chunks.flatten().dictionary_encode()
+        ids = self._ids(coded.dictionary.to_pylist())
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        lists = pa.LargeListArray.from_arrays(
+            pa.array(np.concatenate(([0], np.cumsum(sizes)))), pa.Array.from_buffers(pa.uint32(), int(sizes.sum()), [None, pa.py_buffer(b"".join(ids))]))
+        values = lists.take(coded.indices).flatten().to_numpy()
+        upto = np.concatenate(([0], np.cumsum(sizes[coded.indices.to_numpy()])))
+        return upto[chunks.offsets.to_numpy()[1:]], values
+
+
+def folded(text: str) -> str:
+    """Lower case where that is the tokenizer's own folding for sure: in texts of Latin-1 characters."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
+def word_and_tail(chunk: str) -> tuple[str, str]:
+    """A word and the punctuation that closes it: pre-tokens of their own. Other chunks stay whole."""
+    word = chunk.rstrip(TAIL)
+    return (word, chunk[len(word):]) if word.isalpha() else (chunk, "")
+
+
+def _joined(batches):
+    """Batches of at least ``JOINED_BYTES`` of text, so that words recur in them."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= JOINED_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.concat_batches(held)
+
 
 @functools.lru_cache(maxsize=1)
 def _encoder(path: str) -> Encoder:
@@ -86,7 +135,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str | None = None, en
     """Encode every whole text and write the files in ascending id order."""
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    model, end = tokenizer or default_tokenizer(), np.array([end_id], "<u4").tobytes()
+    model = tokenizer or default_tokenizer()
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         .withColumns({"place": id_order(F.col("doc_id")), "tie": F.xxhash64("text")})
@@ -95,17 +144,20 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str | None = None, en
     def encode(batches):
         part, first = TaskContext.get().partitionId(), 0
         work = _encoder(model)
-        for batch in batches:
-            ids = [x + end for x in work.batch(batch.column(1).to_pylist())]
-            counts = np.array([len(x) // 4 for x in ids], np.int64)
-            ends = np.cumsum(counts)
-            offsets = np.concatenate(([0], ends)).astype(np.int32)
-            flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(np.full(len(ids), part, np.int32)), pa.array(first + ends - counts),
-                pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), flat),
-            ], names=["doc_id", "part", "first", "n_tokens", "ids"])
-            first += int(offsets[-1])
+        for rows in _joined(batches):
+            ends, ids = work.batch(rows.column(1).to_pylist())
+            ids = np.insert(ids, ends, end_id).astype(np.int32)
+            ends = ends + np.arange(1, len(ends) + 1)
+            counts = np.diff(ends, prepend=0)
+            for at in range(0, len(ends), BATCH_ROWS):
+                some = slice(at, at + BATCH_ROWS)
+                begin = int(ends[at] - counts[at])
+                offsets = np.concatenate(([0], ends[some] - begin)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    rows.column(0)[some], pa.array(np.full(len(offsets) - 1, part, np.int32)), pa.array(first + ends[some] - counts[some]),
+                    pa.array(counts[some]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids[begin:begin + int(offsets[-1])])),
+                ], names=["doc_id", "part", "first", "n_tokens", "ids"])
+            first += int(ends[-1])
 
     (ordered.mapInArrow(encode, SCHEMA).write
      .option("compression", "zstd")
