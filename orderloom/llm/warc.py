@@ -279,7 +279,8 @@ def read_warc(spark: SparkSession, path: str, *, magic: str = MAGIC, with_payloa
     """The reachable records: file, at (offset), fields (lower-case names), payload_bytes, payload_digest, and payload if asked for."""
     placed = stored(_placed(stored(candidates(_pieces(spark, path, magic), magic), "warc-pieces"), magic), "warc-placed")
     walked = stored(_walk(placed, _entries(placed)), "warc-walked")
-    marked = placed.join(walked, ["file", "block", "seq"])
+    # a row per piece on both sides; its files shrink so much that their size must not decide on a broadcast
+    marked = placed.join(walked.hint("merge"), ["file", "block", "seq"])
     records = marked.where("is_record")
     # pieces of records that go on behind a magic in their payload (all records, if payloads are wanted)
     torn = F.lit(True) if with_payload else ~F.col("whole")
