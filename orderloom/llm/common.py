@@ -63,6 +63,21 @@ def undoc(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
+_WORKER: dict = {}
+
+
+def per_worker(key, make: Callable):
+    """What a Python worker keeps between tasks (models, caches of words): one thing at a time.
+
+    A worker serves the tasks of many operators; what the last one kept goes when another
+    one asks for its own, so a pipeline needs no more memory than its largest stage.
+    """
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = make()
+    return _WORKER[key]
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of every text; a null text is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import BATCH_ROWS, map_texts
+from orderloom.llm.common import BATCH_ROWS, map_texts, per_worker
 
 UNKNOWN = "und"
 SMOOTHING = 0.5       # added to the count of every piece
 LONGEST_PIECE = 12    # letters
 UNKNOWN_LETTER = 1e-6
 SCALE = 20.0
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -82,9 +82,8 @@ class _PieceCache(dict):
         return found
 
 
-@functools.lru_cache(maxsize=1)
 def _piece_cache(path: str) -> _PieceCache:
-    return _PieceCache(vocabulary(path))
+    return per_worker(("pieces", path), lambda: _PieceCache(vocabulary(path)))
 
 
 def piece_counts(rows: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -238,15 +237,8 @@ class Scorer(dict):
         return np.array([self.table[np.fromiter(map(self.__getitem__, words), np.int64, len(words))].sum(axis=0) for words in split])
 
 
-_SCORERS: dict = {}
-
-
 def _scorer_of(model) -> Scorer:
-    """One per Python worker and model; a worker serves many tasks."""
-    if model.id not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.id] = Scorer(model.value)
-    return _SCORERS[model.id]
+    return per_worker(("scorer", model.id), lambda: Scorer(model.value))
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

@@ -28,15 +28,13 @@ gives an empty result; other columns are ignored, and kept by ``drop_near_duplic
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import BATCH_ROWS, as_doc, id_order, map_texts, stored, undoc
+from orderloom.llm.common import BATCH_ROWS, as_doc, id_order, map_texts, per_worker, stored, undoc
 from orderloom.llm.components import connected_components
 
 WORDS = 5
@@ -44,7 +42,7 @@ PERCENT = 85             # links: 100 * intersection >= PERCENT * union
 BANDS, ROWS = 16, 4
 SLOTS = BANDS * ROWS
 BLOCK = 256
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = 0x9E3779B97F4A7C15
 
@@ -65,9 +63,8 @@ class WordHashes(dict):
         return found
 
 
-@functools.lru_cache(maxsize=1)
 def _hashes() -> WordHashes:
-    return WordHashes()
+    return per_worker("hashes", WordHashes)
 
 
 def shingle_set(text: bytes, hashes: WordHashes, words: int = WORDS) -> np.ndarray:

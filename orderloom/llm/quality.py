@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import BATCH_ROWS, map_texts
+from orderloom.llm.common import BATCH_ROWS, map_texts, per_worker
 
 BUCKETS, DIMS, NONZERO = 8192, 24, 4
 BLOCK = 512              # buckets whose vectors are summed in one row
@@ -62,9 +62,8 @@ class TokenCache(dict):
         return found
 
 
-@functools.lru_cache(maxsize=1)
 def _tokens() -> TokenCache:
-    return TokenCache()
+    return per_worker("tokens", TokenCache)
 
 
 def buckets(text: str, cache: TokenCache) -> np.ndarray:

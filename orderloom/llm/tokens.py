@@ -21,7 +21,6 @@ empty table writes no documents; other columns are kept out of the files.
 
 from __future__ import annotations
 
-import functools
 import os
 import zlib
 from array import array
@@ -33,13 +32,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import BATCH_ROWS, id_order
+from orderloom.llm.common import BATCH_ROWS, id_order, per_worker
 from orderloom.session import scratch_path
 
 END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
-CACHED_WORDS = 600_000
+CACHED_WORDS = 500_000
 JOINED_BYTES = 6 << 20
 CACHED_CHARS = 64
 TAIL = ".,!?;:*%$#&|"
@@ -124,10 +123,8 @@ def _joined(batches):
         yield pa.concat_batches(held)
 
 
-@functools.lru_cache(maxsize=1)
 def _encoder(path: str) -> Encoder:
-    """One per Python worker; a worker serves many tasks."""
-    return Encoder(path)
+    return per_worker(("encoder", path), lambda: Encoder(path))
 
 
 def write_tokens(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: int = END_ID,
