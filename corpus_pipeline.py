@@ -1,7 +1,8 @@
 """A training corpus in five stages, from ``documents`` to token files.
 
-1. language: documents whose language cannot be told go (no letters, or a
-   posterior below ``LEAST_SCORE``);
+1. language: documents whose language cannot be told go (no letters, a
+   posterior below ``LEAST_SCORE``, or a log likelihood per letter far below that of
+   the learning rows: gibberish and languages that are not learned);
 2. near-duplicates: one document of each group stays;
 3. decontamination: documents that hold a benchmark window go;
 4. mixing: documents are repeated to their source's target share;
@@ -26,8 +27,11 @@ LEAST_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.learn(langid.learning_rows(docs))
-    found = langid.identify(docs, model)
-    return undoc(found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)), docs)
+    # stored: the texts are scored once, for the calibration and for the filter
+    found = stored(langid.identify(docs, model), "identified")
+    told = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    rows = langid.learned("doc.doc_id") & F.col("doc.lang").isNotNull()
+    return undoc(found.where(told & langid.plausible(found, rows)), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

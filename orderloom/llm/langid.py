@@ -13,6 +13,10 @@ rows with a null language or id are not learned from; if nothing can be
 learned every text is ``und``; letters outside the vocabulary cost the same
 in every language; ties go to the first language by code point; very long
 words are scored whole; other columns are kept.
+
+The posterior says which language is the likeliest, not whether the text is in
+any: it goes to 1 with length. ``plausible`` decides that on the log likelihood per
+letter, against what the learning rows of the same language have.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +39,9 @@ LONGEST_PIECE = 12    # letters
 UNKNOWN_LETTER = 1e-6
 SCALE = 20.0
 CACHED_WORDS = 300_000
+#: letters from which differences between documents, no more chance, spread the log likelihood per letter
+STEADY_LETTERS = 256
+WIDTH, LEAST_SPREAD = 10.0, 1.0   # spreads below the median that are still plausible; least spread, by 1 / sqrt(letters)
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -242,7 +249,8 @@ def _scorer_of(model) -> Scorer:
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``doc`` with lang_pred and score (the posterior of lang_pred under equal priors)."""
+    """``doc`` with lang_pred, score (the posterior of lang_pred under equal priors), the number of
+    letters, and the log likelihood per letter under lang_pred (null for ``und``)."""
     shared = _Shared(docs.sparkSession.sparkContext.broadcast(model))
 
     def start():
@@ -250,20 +258,48 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
         langs = shared.value.langs
 
         def work(texts):
-            pred, score = [], []
+            pred, score, size, each = [], [], [], []
             for *logs, letters in scorer.log_likelihoods([t.decode("utf-8", "replace") for t in texts]):
+                size.append(int(letters))
                 if not letters or not langs:
                     pred.append(UNKNOWN)
                     score.append(0.0)
+                    each.append(None)
                     continue
                 best = int(np.argmax(logs))
                 pred.append(langs[best])
                 score.append(float(1.0 / np.exp(np.array(logs) - logs[best]).sum()))
-            return [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
+                each.append(float(logs[best] / letters))
+            return [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(size, pa.int64()), pa.array(each, pa.float64())]
 
         return work
 
-    return map_texts(docs, text_col, "lang_pred string, score double", start)
+    return map_texts(docs, text_col, "lang_pred string, score double, letters bigint, per_letter double", start)
+
+
+def plausible(found: DataFrame, learned: Column) -> Column:
+    """Whether a row of ``found`` (from ``identify``, stored) reads like its language.
+
+    The log likelihood per letter may lie ``WIDTH`` spreads below the median of the learning rows
+    (``learned``) found to be in the language; the spread is the 95% quantile of their distances to
+    the median, and widens by 1 / sqrt(letters) for texts of under ``STEADY_LETTERS`` letters. A
+    language that no learning row is found to be in takes the figures of all learning rows.
+    """
+    rows = found.where(learned & F.col("per_letter").isNotNull()).select("lang_pred", "letters", "per_letter")
+    steady = F.sqrt(F.least(F.col("letters"), F.lit(STEADY_LETTERS)))
+
+    def quantile(value: Column, share: float) -> Column:
+        # a row for each language, and one for all
+        got = {r[0]: r[1] for r in rows.rollup("lang_pred").agg(F.percentile_approx(value, share)).collect()}
+        out = F.lit(got.get(None))
+        for lang, x in got.items():
+            if lang is not None:
+                out = F.when(F.col("lang_pred") == lang, x).otherwise(out)
+        return out.cast("double")
+
+    median = quantile(F.col("per_letter"), 0.5)
+    spread = F.greatest(quantile(F.abs(F.col("per_letter") - median) * steady, 0.95), F.lit(LEAST_SPREAD))
+    return F.coalesce(F.col("per_letter") >= median - WIDTH * spread / steady, F.lit(False))
 
 
 class _Shared:
@@ -283,6 +319,10 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+def learned(id_col: str = "doc_id") -> Column:
+    return F.col(id_col).isNotNull() & ~held_out(id_col)
+
+
 def learning_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    return docs.where(F.col(id_col).isNotNull() & ~held_out(id_col)).select(
+    return docs.where(learned(id_col)).select(
         F.col(lang_col).cast(T.StringType()).alias("lang"), F.col(text_col).alias("text"))

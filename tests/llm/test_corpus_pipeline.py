@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,3 +54,22 @@ def test_awkward_tables(spark, data, tmp_path):
     rows(spark, data, clash=("id", "doc", "reps", "_gone")).write.parquet(str(tmp_path / "documents.parquet"))
     found = P.run(spark, str(tmp_path)).collect()
     assert bool(found) == bool(data)
+
+
+def test_language_stage_rejects_what_is_in_no_learned_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    draw = random.Random(4)
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+        "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı "
+        "kardeşlik zihniyeti ile hareket etmelidirler.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        *(" ".join("".join(draw.choice("bcdfghjklmnpqrstvwxz") for _ in range(draw.randint(3, 9))) for _ in range(n)) for n in (20, 200, 2000))]
+    clean = "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience."
+    added = [(10**6 + i, t, "en", "a") for i, t in enumerate([*foreign, clean])]
+    both = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(rows(spark, added))
+    kept = set(ids(P.language(spark, both, "")))
+    assert {i for i in kept if i >= 10**6} == {10**6 + len(foreign)}
+    lettered = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert len(lettered - kept) <= 0.01 * len(lettered)
