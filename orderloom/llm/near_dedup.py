@@ -23,7 +23,8 @@ Defined cases: null or empty texts and those without words have the empty
 set and link with nothing; texts of fewer words than a shingle have one
 element; rows with one id are one document (it has the links of all its
 rows), null ids count as one document with the largest id; an empty table
-gives an empty result; other columns are ignored, and kept by ``drop_near_duplicates``.
+gives an empty result; other columns are ignored. ``drop_near_duplicates`` keeps them, and
+takes every row as a document of its own, whatever its id.
 """
 
 from __future__ import annotations
@@ -275,12 +276,23 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT, words: int = WOR
             .select("id", "n_shingles", F.coalesce("component", "id").alias("component")))
 
 
-def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """One document of each group stays, with its own columns: the one with the smallest id."""
-    found = near_duplicates(docs, id_col=id_col, **options)
-    gone = stored(found.where("id <> component").select("id").distinct(), "gone")
-    rows = as_doc(docs).withColumn("id", id_order(F.col(f"doc.`{id_col}`")))
-    return undoc(rows.join(gone, "id", "left_anti"), docs)
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each group stays, with its own columns: the one with the smallest id.
+
+    Here every row is a document: rows that share an id, or have none, link by their own
+    texts only. Rows of a group with one id go by a hash of the text, equal ones by their place.
+    """
+    numbered = stored(as_doc(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    rows = numbered.select("row", F.col(f"doc.`{id_col}`").alias("id"), F.col(f"doc.`{text_col}`").alias("text"))
+    found = stored(near_duplicates(rows, id_col="row", text_col="text", **options).select(F.col("id").alias("row"), "component"), "groups")
+    first = F.min(F.struct(id_order(F.col("id")).alias("id"), "hash", "row")).alias("first")
+    names = rows.select("row", "id", F.xxhash64("text").alias("hash"))
+    groups = stored(found.join(names, "row").groupBy("component").agg(first, F.count("*").alias("size"))
+                    .where("size > 1").select("component", F.col("first.row").alias("kept")), "kept")
+    # the row that names a group is in it
+    members = found.where("row <> component").select("row").union(groups.select("component"))
+    gone = stored(members.join(groups.select(F.col("kept").alias("row")), "row", "left_anti"), "gone")
+    return undoc(numbered.join(gone, "row", "left_anti"), docs)
 
 
 def links(docs: DataFrame, table: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:

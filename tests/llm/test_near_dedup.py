@@ -105,3 +105,14 @@ def test_components(spark):
     expected = smallest({x for p in links for x in p if p[0] != p[1]}, links)
     assert found == expected
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_rows_are_dropped_by_row_not_by_id(spark):
+    own = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    data = [(1, own("a")), (None, own("a")), (None, own("b")), (None, own("c")), (None, own("c")),  # null ids
+            (2, own("d")), (3, own("d")), (3, own("e")), (4, own("f")), (4, own("f")),             # repeated ids
+            (None, None), (None, ""), (5, None)]
+    kept = N.drop_near_duplicates(rows(spark, [(i, t, "en", "a") for i, t in data], clash=("row", "first", "component", "id")))
+    expected = [(1, own("a")), (None, own("b")), (None, own("c")), (2, own("d")), (3, own("e")), (4, own("f")),
+                (None, None), (None, ""), (5, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(expected, key=repr)
