@@ -41,3 +41,33 @@ def test_model_tells_kinds_apart(spark):
     row, slots, lengths = U._grams([u.encode() for u in good])
     assert lengths.sum() == len(row) == sum(n for (m, k, *_), n in grams.items() if k == 3)
     assert np.isclose(sum(1 for key in grams if key[1] == 0), len(set("".join(good)) | {"\0"}))
+
+
+def test_scores_are_exact_whatever_the_number_of_grams(spark):
+    draw = np.random.RandomState(2)
+    noise = ["".join(map(chr, draw.randint(33, 127, 20_000))) for _ in range(30)]  # far more grams than 2**18
+    urls = [(1, u) for u in noise] + [(0, f"http://s{i}.org/p{i % 7}") for i in range(50)]
+    counted = spark.createDataFrame(urls, "kind int, url string")
+    expected = {}
+    for kind, u in urls:
+        b = bytes(U.ORDER) + u.encode() + b"\0"
+        for at in range(U.ORDER, len(b)):
+            for k in range(U.ORDER + 1):
+                after = expected.setdefault((kind, b[at - k:at]), {})
+                after[b[at]] = after.get(b[at], 0) + 1
+    counts = U.stored(U.gram_counts(counted), "test-grams")
+    assert counts.where("k = 5").count() == sum(len(v) for (_, c), v in expected.items() if len(c) == 5) > 2 ** 18
+    asked = [noise[0][:500], "http://s3.org/p3", "http://s99.net/q", "x"]
+    rows = spark.createDataFrame(list(enumerate(asked)), "u bigint, url string")
+    got = {r.u: r.score for r in U.MarkovPair(counts).scores(rows).collect()}
+    for i, u in enumerate(asked):
+        b, logs = bytes(U.ORDER) + u.encode() + b"\0", [0.0, 0.0]
+        for kind in (0, 1):
+            for at in range(U.ORDER, len(b)):
+                p = 1 / 256
+                for k in range(U.ORDER + 1):
+                    after = expected.get((kind, b[at - k:at]))
+                    if after:
+                        p = (after.get(b[at], 0) + len(after) * p) / (sum(after.values()) + len(after))
+                logs[kind] += np.log(p)
+        assert np.isclose(got[i], (logs[0] - logs[1]) / (len(u) + 1), rtol=1e-9)
