@@ -71,3 +71,35 @@ def test_whole_small_table_against_brute_force(spark):
         assert (r.n_words, r.n_hit, list(r["items"])) == (len(w), len(hit), sorted(found))
         hits += bool(hit)
     assert hits
+
+
+def test_blocks_are_bounded_and_pass_one_by_one(spark, monkeypatch):
+    own = [f"z{i}q" for i in range(400)]
+    items = [(1, " ".join(own)), *[(2, "same words in many rows")] * 300, (3, "short item"), *[(10 + i, f"item number {i}") for i in range(40)]]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    sizes, opened, most = [], [], []
+    init, broadcast = D.WindowSet.__init__, type(spark.sparkContext).broadcast
+
+    def made_of(block, rows, n):
+        sizes.append(sum(len(t) for _, t in rows))
+        init(block, rows, n)
+
+    def watched(context, value):
+        made = broadcast(context, value)
+        if isinstance(value, D.WindowSet):
+            opened.append(made)
+            most.append(len(opened))
+            destroy = made.destroy
+            made.destroy = lambda *a: (opened.remove(made), destroy(*a))
+        return made
+
+    docs = [(1, " ".join(["a", *own[100:130], "b", *own[395:], "same words IN many rows"]), "en", "a"),
+            (2, " ".join([*own[200:209], "short, item"]), "en", "a"), (2, "clean", "en", "a"), (None, None, "en", "a")]
+    with monkeypatch.context() as m:
+        m.setattr(D.WindowSet, "__init__", made_of)
+        m.setattr(type(spark.sparkContext), "broadcast", watched)
+        got = D.find_contamination(rows(spark, docs), bench, block_bytes=600).collect()
+    assert len(sizes) > 3 and max(sizes) <= 600 and max(most) == 1
+    assert len(got) == len(docs)
+    for r in got:
+        assert (r.n_words, r.n_hit, list(r["items"])) == brute(r[0].text, items)
