@@ -41,6 +41,7 @@ PAGE_BYTES = 256 << 10
 CACHED_WORDS = 500_000
 JOINED_BYTES = 6 << 20
 CACHED_CHARS = 64
+SPECIAL = "<|"           # begins every special token
 TAIL = ".,!?;:*%$#&|"
 
 SCHEMA = "doc_id bigint, part int, first bigint, n_tokens bigint, ids array<int>"
@@ -96,7 +97,10 @@ class Encoder:
 
 
 def folded(text: str) -> str:
-    """Lower case where that is the tokenizer's own folding for sure: in texts of Latin-1 characters."""
+    """Lower case where that is the tokenizer's own folding for sure: in texts of Latin-1 characters
+    without ``SPECIAL``, as special tokens are matched before folding."""
+    if SPECIAL in text:
+        return text
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:

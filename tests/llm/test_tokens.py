@@ -75,3 +75,10 @@ def test_file_format(spark):
     one = tokens.read_tokens(spark, path).where("doc_id = 17")
     assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,17)]" in one._jdf.queryExecution().toString()
     assert one.collect()[0].ids[-1] == 2
+
+
+def test_special_tokens_in_other_case_are_plain_text():
+    assert all(t.content.startswith(tokens.SPECIAL) for t in _plain_cached().get_added_tokens_decoder().values())
+    texts = ["<|ENDOFTEXT|>", "A Text <|StartOfText|> and\nMORE", "<|endoftext|>", "a<|EndOfText|>. B", "PLAIN"]
+    ends, ids = tokens._encoder(tokens.default_tokenizer()).batch(texts)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [_plain_cached().encode(t, add_special_tokens=False).ids for t in texts]
