@@ -141,7 +141,51 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hit,
 FROM cut LEFT JOIN hits USING (r) LEFT JOIN owners USING (r)
 """
 
+PREFIX_TRIE = r"""
+WITH turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+    FROM conversations
+), convs AS (
+    -- the reflected CRC-32, bit by bit over the bytes of the decimal id
+    SELECT c, c - c % 100 AS base,
+           xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+               lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                   lambda x, zero: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 6 AS h
+    FROM (SELECT DISTINCT conv_id AS c FROM conversations)
+), own AS (
+    SELECT convs.c, 0 AS part, pos, role, text FROM convs JOIN turns ON turns.c = base AND pos < h
+    UNION ALL
+    SELECT convs.c, 1, pos, role, text FROM convs JOIN turns ON turns.c = convs.c AND pos >= h
+), whole AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS depth,
+           length(role) || ':' || role || length(text) || ':' || text || ';' AS turn, length(text) AS n
+    FROM own
+), prefixes AS (
+    SELECT c, depth, n, string_agg(turn, '') OVER (PARTITION BY c ORDER BY depth) AS node FROM whole
+    UNION ALL
+    SELECT c, 0, 0, '' FROM convs
+), lengths AS (SELECT c, max(depth) AS len FROM prefixes GROUP BY c),
+nodes AS (
+    SELECT depth, node, min(c) AS conv_id, any_value(n) AS n, count(*) AS n_convs, max(len) AS longest,
+           coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len = depth), '') AS ended
+    FROM prefixes JOIN lengths USING (c) GROUP BY depth, node
+), ancestors AS (
+    -- every node that the smallest member of a node passes on the way to it
+    SELECT x.depth, x.conv_id, a.conv_id AS up, a.depth AS up_depth,
+           CASE WHEN x.depth > 0 THEN (x.n_convs - 1) * x.n ELSE 0 END AS saved, x.longest = x.depth AS leaf
+    FROM nodes x JOIN prefixes p ON p.c = x.conv_id AND p.depth <= x.depth JOIN nodes a ON a.depth = p.depth AND a.node = p.node
+), subtrees AS (
+    SELECT up AS conv_id, up_depth AS depth, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (leaf) AS n_leaves,
+           count(*) FILTER (ancestors.depth = up_depth + 1) AS n_children
+    FROM ancestors GROUP BY up, up_depth
+)
+SELECT nodes.conv_id, nodes.depth, up AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ended) AS ends_sha256
+FROM nodes JOIN subtrees ON subtrees.conv_id = nodes.conv_id AND subtrees.depth = nodes.depth
+LEFT JOIN ancestors ON ancestors.conv_id = nodes.conv_id AND ancestors.depth = nodes.depth AND up_depth = nodes.depth - 1
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_embedding_dedup": EMBEDDING_DEDUP, "op4_near_dedup": NEAR_DEDUP, "op5_line_dedup": LINE_DEDUP,
-            "op6_mixing": MIXING, "op9_decontaminate": DECONTAMINATE}
+            "op6_mixing": MIXING, "op9_decontaminate": DECONTAMINATE, "op13_prefix_trie": PREFIX_TRIE}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, embed_dedup, langid, line_dedup, mixing, near_dedup, quality, tokens, url_filter, warc
+from orderloom.llm import decontaminate, embed_dedup, langid, line_dedup, mixing, near_dedup, prefix_trie, quality, tokens, url_filter, warc
 from orderloom.llm.common import NULL_ID, table
 from orderloom.session import scratch_path
 
@@ -73,5 +73,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.read_warc(spark, path))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
