@@ -1,8 +1,10 @@
 """Quality rules: counts of a text, and its perplexity under a language's own n-gram model.
 
 The model is a modified Kneser-Ney model of byte n-grams up to ``ORDER`` for each value of
-the language column (words joined by one space, A-Z lower-cased). Tasks count the highest
-order of every whole text, Spark sums the counts; the lower orders count distinct left
+the language column (words joined by one space, A-Z lower-cased). Texts fall into two halves
+by their hash, and a text is scored by the model of the other half: one that has learned a
+strange text by heart would find nothing strange in it, and copies share a half. Tasks count
+the highest order of every whole text, Spark sums the counts; the lower orders count distinct left
 neighbours, and discounts, totals and interpolated probabilities are joins and windows
 over these tables. A window is at most the 255 followers of one context. The n-grams are
 packed into one long each, so no two of them share a key.
@@ -16,8 +18,8 @@ values do not depend on order, so both ways and all reruns agree to the last dig
 A language's band is the median of bits per byte of its documents that pass the base rules,
 plus and minus ``WIDTH`` spreads; the spread is the median distance to the median, at least
 ``LEAST_SPREAD``. Below ``STEADY_BYTES`` bytes the band widens as chance does. A language with
-fewer than ``LEAST_DOCUMENTS`` such documents takes the band of all documents. Both quantiles
-are exact, from a histogram in thousandths of a bit.
+fewer than ``LEAST_DOCUMENTS`` such documents has no band: the base rules alone judge its
+documents. Both quantiles are exact, from a histogram in thousandths of a bit.
 
 Defined cases: a null text has no words; a text without words has no n-grams and fails the
 base rules; a null language is ``und``; rows of one id are judged each by its own text; very
@@ -305,8 +307,11 @@ UNSEEN = int(round(np.log2(SYMBOLS) * ONE))
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _lang(lang_col: str) -> Column:
-    return F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(UNKNOWN))
+def _keys(lang_col: str, text_col: str) -> tuple[Column, Column]:
+    """The model that a text is counted into, and the one that scores it: language and half."""
+    lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(UNKNOWN))
+    half = F.pmod(F.xxhash64(F.col(f"`{text_col}`")), F.lit(2))
+    return F.concat(lang, F.lit("/"), half.cast("string")), F.concat(lang, F.lit("/"), (1 - half).cast("string"))
 
 
 def _scored(rows: DataFrame, shared: _Shared | None) -> DataFrame:
@@ -375,9 +380,8 @@ def joined_bits(rows: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """lang, median, spread of the documents that pass the base rules; the row without lang is of all."""
+    """lang, median, spread of the documents that pass the base rules, in languages that have enough of them."""
     bins = stored(scored.where(~F.col("base_failed")).groupBy("lang", "rate").agg(F.count("*").alias("n")), "kn-bins")
-    bins = bins.unionByName(bins.groupBy("rate").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "rate", "n"))
 
     def median(rows: DataFrame, value: str) -> DataFrame:
         # a bin for each thousandth of a bit that occurs
@@ -386,20 +390,21 @@ def bands(scored: DataFrame) -> DataFrame:
         return (rows.groupBy("lang", value).agg(F.sum("n").alias("n")).select("lang", value, upto.alias("upto"), total.alias("total"))
                 .where(F.col("upto") * 2 >= F.col("total")).groupBy("lang").agg(F.min(value).alias("middle"), F.first("total").alias("total")))
 
-    center = median(bins, "rate")
-    away = (bins.alias("b").join(center.alias("c"), F.col("b.lang").eqNullSafe(F.col("c.lang")))
-            .select("b.lang", F.abs(F.col("b.rate") - F.col("c.middle")).alias("away"), "n"))
-    spread = median(away, "away").select(F.col("lang").alias("l"), F.col("middle").alias("spread"))
-    return stored(center.join(spread, F.col("lang").eqNullSafe(F.col("l"))).select(
-        "lang", F.col("middle").alias("median"), F.greatest("spread", F.lit(LEAST_SPREAD)).alias("spread"), "total"), "kn-bands")
+    center = stored(median(bins, "rate").where(F.col("total") >= LEAST_DOCUMENTS), "kn-medians")
+    away = bins.join(center, "lang").select("lang", F.abs(F.col("rate") - F.col("middle")).alias("away"), "n")
+    spread = median(away, "away").select("lang", F.greatest("middle", F.lit(LEAST_SPREAD)).alias("spread"))
+    return stored(center.join(spread, "lang").select("lang", F.col("middle").alias("median"), "spread"), "kn-bands")
 
 
 def judge(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", shipped_rows: int = SHIPPED_ROWS) -> DataFrame:
     """``doc`` (every column but the text), the base counts, base_failed, rate (thousandths of a bit a byte), kept."""
     spark = docs.sparkSession
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    rows = docs.select(F.struct(F.lit(None).cast("int").alias("none"), *rest).alias("doc"), _lang(lang_col).alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    model = learn(rows.select("lang", "text"))
+    counted, scoring = _keys(lang_col, text_col)
+    rows = docs.select(F.struct(F.lit(None).cast("int").alias("none"), *rest).alias("doc"), counted.alias("counted"), scoring.alias("lang"),
+                       F.col(f"`{text_col}`").alias("text"))
+    model = learn(rows.select(F.col("counted").alias("lang"), "text"))
+    rows = rows.drop("counted")
     with arrow_rows(spark, BATCH_ROWS):
         if model.count() <= shipped_rows:
             scored = stored(_scored(rows, _Shared(spark.sparkContext.broadcast(collected_model(model)))), "kn-scored")
@@ -411,17 +416,12 @@ def judge(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sh
             scored = (plain.join(bits, F.col("doc.row") == F.col("r"), "left").drop("r")
                       .withColumns({"doc": F.col("doc.doc"), "bits": F.coalesce("bits", F.lit(0))}))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    scored = scored.withColumns({"base_failed": failed, "rate": F.floor(F.try_divide(F.col("bits") * 1000, F.col("n_bytes") * ONE)).cast("long")})
-    known = bands(scored)
-    whole = known.where("lang IS NULL").first()
-    own = known.where(F.col("lang").isNotNull() & (F.col("total") >= LEAST_DOCUMENTS)).select(
-        F.col("lang").alias("l"), "median", "spread")
-    middle = F.coalesce("median", F.lit(whole.median if whole else None).cast("long"))
-    width = F.coalesce("spread", F.lit(whole.spread if whole else None).cast("long")) * WIDTH
+    scored = scored.withColumns({"base_failed": failed, "rate": F.floor(F.try_divide(F.col("bits") * 1000, F.col("n_bytes") * ONE)).cast("long"),
+                                 "lang": F.expr("substring(lang, 1, length(lang) - 2)")})
     chance = F.greatest(F.lit(1.0), F.sqrt(F.lit(float(STEADY_BYTES)) / F.col("n_bytes")))
-    kept = ~F.col("base_failed") & (F.abs(F.col("rate") - middle) <= width * chance)
-    return scored.join(own, F.col("lang") == F.col("l"), "left").select(
-        "doc", *COUNTS, "base_failed", "rate", F.coalesce(kept, F.lit(False)).alias("kept"))
+    inside = F.abs(F.col("rate") - F.col("median")) <= F.col("spread") * WIDTH * chance
+    kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
+    return scored.join(bands(scored), "lang", "left").select("doc", *COUNTS, "base_failed", "rate", kept.alias("kept"))
 
 
 def drop_failed(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
