@@ -141,6 +141,38 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hit,
 FROM cut LEFT JOIN hits USING (r) LEFT JOIN owners USING (r)
 """
 
+PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), cut AS (
+    SELECT lang, w FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces) WHERE len(w) > 0
+), sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang),
+places AS (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM cut, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k
+), counted AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.f AS a, l.f AS l, r.f AS r, cut_at, (2000000::HUGEINT * c.f // (l.f + r.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut_at, string_split(phrase, ' ') AS w FROM counted WHERE k > 1) c
+    JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut_at], ' ')
+    JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut_at + 1:c.k], ' ')
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1
+), inside AS (
+    SELECT lang, array_to_string(w[i:i + n - 1], ' ') AS phrase, max(f) AS f FROM (
+        SELECT *, unnest(range(1, k - n + 2)) AS i FROM (SELECT lang, k, f, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS n FROM counted WHERE k > 2))
+    GROUP BY ALL
+), ranked AS (
+    SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, encode(best.phrase)) AS rank
+    FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.phrase = best.phrase
+    WHERE coalesce(inside.f, 0) * 100 < a * 80
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
 PREFIX_TRIE = r"""
 WITH turns AS (
     SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
@@ -188,4 +220,4 @@ LEFT JOIN ancestors ON ancestors.conv_id = nodes.conv_id AND ancestors.depth = n
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_embedding_dedup": EMBEDDING_DEDUP, "op4_near_dedup": NEAR_DEDUP, "op5_line_dedup": LINE_DEDUP,
-            "op6_mixing": MIXING, "op9_decontaminate": DECONTAMINATE, "op13_prefix_trie": PREFIX_TRIE}
+            "op6_mixing": MIXING, "op9_decontaminate": DECONTAMINATE, "op11_phrases": PHRASES, "op13_prefix_trie": PREFIX_TRIE}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, embed_dedup, langid, line_dedup, mixing, near_dedup, perplexity, prefix_trie, quality, tokens, url_filter, warc
+from orderloom.llm import decontaminate, embed_dedup, langid, line_dedup, mixing, near_dedup, perplexity, phrases, prefix_trie, quality, tokens, url_filter, warc
 from orderloom.llm.common import NULL_ID, table
 from orderloom.session import scratch_path
 
@@ -73,6 +73,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.read_warc(spark, path))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op12_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = perplexity.judge(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     return judged.select("doc.doc_id", *perplexity.COUNTS, "base_failed", "kept", "rate")
