@@ -42,14 +42,14 @@ from orderloom.llm.common import BATCH_ROWS, arrow_rows, as_doc, per_worker, sto
 from orderloom.llm.langid import _Shared
 from orderloom.llm.near_dedup import mix
 
-ORDER = 6
+ORDER = 5
 SYMBOLS = 255
 ONE = 1 << 16
 #: fixed values: what the base rules count and require
 SIGNS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED = 50, 50
-WIDTH, LEAST_SPREAD, LEAST_DOCUMENTS, STEADY_BYTES = 12.0, 20, 50, 2048
-SHIPPED_ROWS = 16_000_000
+WIDTH, LEAST_SPREAD, LEAST_DOCUMENTS, STEADY_BYTES = 15.0, 20, 50, 2048
+SHIPPED_ROWS = 8_000_000
 PIECE = 1 << 20
 HELD_GRAMS = 2_000_000
 UNKNOWN = "und"
@@ -255,11 +255,11 @@ def collected_model(rows: DataFrame) -> dict:
                                                   pa.array([own["bits"].to_numpy().astype(np.int32).tobytes()], pa.binary())],
                                                  names=["lang", "kind", "keys", "bits"])
 
-    with arrow_rows(rows.sparkSession, 1 << 17):
-        parts = rows.mapInArrow(pack, "lang string, kind int, keys binary, bits binary").collect()
     found: dict = {}
-    for r in parts:
-        found.setdefault((r.lang, r.kind), []).append((np.frombuffer(r.keys, np.uint64), np.frombuffer(r.bits, np.int32)))
+    with arrow_rows(rows.sparkSession, 1 << 17):
+        # one partition at a time, at most 12 bytes a row in all
+        for r in rows.mapInArrow(pack, "lang string, kind int, keys binary, bits binary").toLocalIterator():
+            found.setdefault((r.lang, r.kind), []).append((np.frombuffer(r.keys, np.uint64), np.frombuffer(r.bits, np.int32)))
     return {k: tuple(np.concatenate(x) for x in zip(*v)) for k, v in found.items()}
 
 
