@@ -121,14 +121,14 @@ def test_narrow_slice_matches_brute_force(spark, duck):
         duck.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     where = ("order_date::DATE BETWEEN DATE '1996-01-01' AND DATE '1997-06-30' "
              "AND region IN ('North', 'West') AND category IN ('Standard', 'Promo', 'Large')")
-    top = duck.execute(oracle.with_star(f"""
-        SELECT product_name, category, {oracle.REV} AS revenue, CAST(SUM(quantity) AS BIGINT) AS units
-        FROM sales WHERE {where} GROUP BY 1, 2
+    top = duck.execute(oracle.with_sales(f"""
+        SELECT product_name, category, {oracle.EARNED} AS revenue, CAST(SUM(quantity) AS BIGINT) AS units
+        FROM sold WHERE {where} GROUP BY 1, 2
         ORDER BY revenue DESC, product_name NULLS LAST, category NULLS LAST LIMIT 10""")).fetchall()
     assert got == {(a, b): (c, d) for a, b, c, d in top}
-    k = duck.execute(oracle.with_star(f"""
-        SELECT {oracle.REV}, COUNT(DISTINCT order_id), COUNT(DISTINCT customer_id), {oracle.RETURN_RATE}
-        FROM sales WHERE {where}""")).fetchone()
+    k = duck.execute(oracle.with_sales(f"""
+        SELECT {oracle.EARNED}, COUNT(DISTINCT order_id), COUNT(DISTINCT customer_id), {oracle.RETURNED}
+        FROM sold WHERE {where}""")).fetchone()
     assert (kp.revenue, kp.orders, kp.customers) == k[:3]
     assert kp.return_rate == pytest.approx(k[3])
     with pytest.raises(ValueError):
