@@ -34,7 +34,7 @@ def _to_roots(parents: DataFrame) -> DataFrame:
 
 
 def connected_components(links: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``links`` (columns a, b): the smallest node reachable."""
+    """(node, component) for every node of ``links`` (columns a, b) that links to another one: the smallest node reachable."""
     links = stored(_contracted(links), "links")
     found = None
     while not links.isEmpty():
