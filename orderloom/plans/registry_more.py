@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.plans.snapshot_queries import snapshot_queries
-from orderloom.schemas import DEAD_LETTER
+from orderloom.schemas import DEAD_LETTER, ORDER_EVENTS
 from orderloom.session import configure, scratch_path
 from orderloom.sources import testmap
 from orderloom.streaming import events as ev
 from orderloom.streaming import metrics
+from orderloom.streaming.live import LiveState
 from orderloom.streaming.sink import run_file_stream
 
 
@@ -80,6 +81,44 @@ def stream_insert_status(spark, sf_dir):
     return status.groupBy("status").agg(F.count(F.lit(1)).alias("events"))
 
 
+def _state_ingest(spark: SparkSession, sf_dir: str) -> str:
+    configure(spark)
+    return _state_ingest_version(spark, sf_dir, testmap.table_version(spark, sf_dir, "events"))
+
+
+@lru_cache(maxsize=8)
+def _state_ingest_version(spark: SparkSession, sf_dir: str, version: str) -> str:
+    """The same deliveries through the state store, with live metrics that follow the stream."""
+    root = scratch_path(spark, "event_state_stream")
+    source = testmap.land_event_files(spark, sf_dir, f"{root}/landing")
+    run_file_stream(spark, source, f"{root}/store", f"{root}/_checkpoint", files_per_trigger=4, dedupe="state", live=True)
+    return f"{root}/store"
+
+
+def stream_delivery_status(spark, sf_dir):
+    """The verdict on every valid delivery, decided in the state store; deliveries count by arrival."""
+    status = spark.read.parquet(f"{_state_ingest(spark, sf_dir)}/insert_status")
+    order = Window.partitionBy("event_id").orderBy("arrival")
+    return status.select("event_id", F.row_number().over(order).cast("bigint").alias("delivery"), "status")
+
+
+def live_metrics_state(spark, sf_dir):
+    """R9 from the state that follows the stream, as of the newest event; the stored events are not read."""
+    live = LiveState(f"{_state_ingest(spark, sf_dir)}/live", ORDER_EVENTS)
+    newest = live.metrics(spark, F.current_timestamp()).first().last_event_time
+    out = live.metrics(spark, F.lit(newest))
+    return out.select("total_events", _money("live_revenue"), "events_last_60_seconds",
+                      F.col("last_event_time").cast("timestamp_ntz").alias("last_event_time"), "live_customers")
+
+
+def recent_orders_state(spark, sf_dir):
+    """R10/R11 from the newest rows that follow the stream."""
+    live = LiveState(f"{_state_ingest(spark, sf_dir)}/live", ORDER_EVENTS)
+    out = live.recent_orders(spark, limit=10, panel=True)
+    return out.select(F.col("event_time").cast("timestamp_ntz").alias("event_time"), "order_id", "category",
+                      "quantity", _money("net_revenue"), "region", "sales_channel")
+
+
 def stream_dead_letters(spark, sf_dir):
     """Dead-letter records (failure time left out)."""
     dead = spark.read.schema(DEAD_LETTER).json(f"{_ingest(spark, sf_dir)}/dead_letters")
@@ -127,6 +166,9 @@ def more_queries() -> dict:
         "event_net_revenue": event_net_revenue,
         "stream_ingest": stream_ingest,
         "stream_insert_status": stream_insert_status,
+        "stream_delivery_status": stream_delivery_status,
+        "live_metrics_state": live_metrics_state,
+        "recent_orders_state": recent_orders_state,
         "stream_dead_letters": stream_dead_letters,
         "events_by_minute": events_by_minute,
         "stream_minute_windows": stream_minute_windows,

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.streaming.events import validate
-from orderloom.streaming.sink import with_arrival
+from orderloom.streaming.events import validate, with_arrival
 
 
 def events_by_minute(events: DataFrame) -> DataFrame:

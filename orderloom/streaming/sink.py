@@ -7,10 +7,14 @@ Per micro-batch (the analogue of the reference's 25-event / 2-second flush):
    arrival order (a map-side-combined aggregate, so a flood of copies of one
    id does not pile up in one task);
 3. first write wins across batches: survivors whose id is already stored by
-   an *earlier* batch are dropped (anti join);
+   an *earlier* batch are dropped (anti join with the buckets of stored ids that
+   the batch's ids fall into, see ``keyset``);
 4. the batch writes its rows, dead letters and per-event statuses into its own
    ``batch_id=<n>`` folders in overwrite mode.
 
+Steps 2 and 3 have another form, ``dedupe="state"``: the streaming state store
+decides (``firstwrite``), and the batch arrives with a status for every delivery.
+
 If Spark replays a batch after a failure between the write and the commit,
 step 3 ignores the batch's own folder and step 4 overwrites it, so the stored
 table ends up the same: effectively once, like ack-after-commit with a
@@ -19,21 +23,20 @@ primary key.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orderloom.operators.cleaning import dedupe_by_key
 from orderloom.operators.joins import bounded_broadcast
 from orderloom.schemas import ORDER_EVENTS
-from orderloom.streaming.events import EVENT_COLUMNS, validate
+from orderloom.streaming.events import EVENT_COLUMNS, validate, with_arrival
+from orderloom.streaming.firstwrite import DUPLICATE, INSERTED, with_status
+from orderloom.streaming.keyset import KeySet
+from orderloom.streaming.live import LiveState
 
 # A micro-batch is bounded by the trigger (maxFilesPerTrigger /
 # maxOffsetsPerTrigger); its ids are broadcast only below this proven count.
 BATCH_BROADCAST_ROWS = 5_000_000
-# Declared, so that a batch does not open stored files to learn their schema.
-STORED_EVENTS = T.StructType([*ORDER_EVENTS.fields, T.StructField("batch_id", T.LongType())])
 
 
 class OrderEventSink:
@@ -44,12 +47,12 @@ class OrderEventSink:
     ``clock`` gives ``received_at`` (default: the batch's current time).
     """
 
-    def __init__(self, root: str, clock=None, history: bool = True):
+    def __init__(self, root: str, clock=None, live: bool = False):
         self.root = root.rstrip("/")
         self.clock = clock
-        # history=False: the stream was already de-duplicated in the state store
-        # (``dedupe_in_state``); skip the probe of stored ids
-        self.history = history
+        self.ids = KeySet(f"{self.root}/event_ids")
+        #: metrics and newest orders that follow the stream
+        self.live = LiveState(f"{self.root}/live", ORDER_EVENTS) if live else None
 
     @property
     def events_path(self) -> str:
@@ -63,16 +66,7 @@ class OrderEventSink:
     def status_path(self) -> str:
         return f"{self.root}/insert_status"
 
-    def stored_ids(self, spark: SparkSession, before_batch: int) -> DataFrame | None:
-        """Ids stored by earlier batches (partition-pruned to ``batch_id < n``)."""
-        try:
-            table = spark.read.schema(STORED_EVENTS).parquet(self.events_path)
-        except AnalysisException:  # nothing stored yet
-            return None
-        return table.filter(F.col("batch_id") < before_batch).select("event_id")
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         now = F.lit(self.clock(batch_id)) if self.clock else F.current_timestamp()
         # position inside the batch as the last tie-break: identical copies in
         # one file still get one winner (the batch is persisted, so it is stable)
@@ -81,86 +75,58 @@ class OrderEventSink:
         checked = validate(batch, "payload", now=now).withColumn("received_at", now.cast("timestamp"))
         checked = checked.persist()
         try:
-            self._write_batch(spark, checked, batch_id)
+            self._write_batch(checked, batch_id, now)
         finally:
             checked.unpersist()
 
-    def _write_batch(self, spark: SparkSession, checked: DataFrame, batch_id: int) -> None:
+    def _write_batch(self, checked: DataFrame, batch_id: int, now) -> None:
         part = f"batch_id={batch_id}"
         (checked.filter(~F.col("is_valid"))
                 .select(F.date_format("received_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("failed_at"),
                         F.col("errors").alias("error"), F.col("payload"))
                 .write.mode("overwrite").json(f"{self.dead_letter_path}/{part}"))
 
-        valid = checked.filter(F.col("is_valid")).select(*EVENT_COLUMNS, "received_at", "arrival")
-        winners = dedupe_by_key(valid, "event_id", ["arrival"])
-        earlier = self.stored_ids(spark, batch_id) if self.history else None
-        if earlier is not None:
-            batch_ids = bounded_broadcast(winners.select("event_id"), BATCH_BROADCAST_ROWS)
-            already = earlier.join(batch_ids, "event_id", "left_semi")
-            winners = winners.join(already, "event_id", "left_anti")
-        winners = winners.persist()
+        valid = checked.filter(F.col("is_valid"))
+        if "status" in checked.columns:
+            winners = valid.filter(F.col("status") == INSERTED)
+        else:
+            winners = dedupe_by_key(valid.select(*EVENT_COLUMNS, "received_at", "arrival"), "event_id", ["arrival"])
+            keys = bounded_broadcast(winners.select(F.col("event_id").alias("key")), BATCH_BROADCAST_ROWS)
+            earlier = self.ids.seen(keys, batch_id)
+            if earlier is not None:
+                already = earlier.join(keys, "key", "left_semi").withColumnRenamed("key", "event_id")
+                winners = winners.join(already, "event_id", "left_anti")
+        winners = winners.select(*EVENT_COLUMNS, "received_at", "arrival").persist()
         try:
-            winners.drop("arrival").write.mode("overwrite").parquet(f"{self.events_path}/{part}")
-            first = winners.select("event_id", "arrival", F.lit(True).alias("inserted"))
-            status = (valid.select("event_id", "arrival")
-                           .join(first, ["event_id", "arrival"], "left")
-                           .select("event_id", "arrival",
-                                   F.when(F.col("inserted"), F.lit("inserted"))
-                                    .otherwise(F.lit("duplicate")).alias("status")))
+            stored = winners.drop("arrival")
+            stored.write.mode("overwrite").parquet(f"{self.events_path}/{part}")
+            if "status" in checked.columns:
+                status = valid.select("event_id", "arrival", "status")
+            else:
+                self.ids.add(winners.select(F.col("event_id").alias("key")), batch_id)
+                first = winners.select("event_id", "arrival", F.lit(INSERTED).alias("status"))
+                status = (valid.select("event_id", "arrival").join(first, ["event_id", "arrival"], "left")
+                               .select("event_id", "arrival", F.coalesce("status", F.lit(DUPLICATE)).alias("status")))
             status.write.mode("overwrite").parquet(f"{self.status_path}/{part}")
+            if self.live:
+                self.live.update(stored, batch_id, now)
         finally:
             winners.unpersist()
 
 
-def with_arrival(stream: DataFrame) -> DataFrame:
-    """Payload text plus an arrival order for first-write-wins.
-
-    A Kafka source has (partition, offset); a file source only has the file,
-    so the order is (file modification time, file path, payload hash).
-    """
-    meta = F.col("_metadata")
-    return stream.select(
-        F.col("value").alias("payload"),
-        F.struct(meta["file_modification_time"].alias("t"), meta["file_path"].alias("f"),
-                 F.xxhash64("value").alias("h")).alias("arrival"))
-
-
-def dedupe_in_state(stream: DataFrame) -> DataFrame:
-    """Exact first-write-wins kept in the streaming state store.
-
-    Valid events pass ``dropDuplicates(["event_id"])``: every id ever seen is
-    a key in the checkpointed state store (use the RocksDB provider at
-    scale), and each micro-batch only looks up its own ids, so the cost per
-    batch follows the batch, not the history. Invalid deliveries bypass it,
-    so every one still reaches the dead letters. Copies dropped here get no
-    'duplicate' status row, and which copy of an id wins inside one batch is
-    not fixed by arrival order.
-    """
-    checked = validate(stream, "payload")
-    valid = checked.filter(F.col("is_valid")).dropDuplicates(["event_id"])
-    invalid = checked.filter(~F.col("is_valid"))
-    return valid.select("payload", "arrival").unionByName(invalid.select("payload", "arrival"))
-
-
 def run_file_stream(spark: SparkSession, source_dir: str, root: str, checkpoint: str,
-                    files_per_trigger: int = 1, clock=None, dedupe: str = "history") -> OrderEventSink:
+                    files_per_trigger: int = 1, clock=None, dedupe: str = "history", live: bool = False) -> OrderEventSink:
     """Ingest every NDJSON file under ``source_dir`` (available-now trigger).
 
-    ``dedupe``: "history" (default; the sink probes ids stored by earlier
-    batches, with a status for every delivery) or "state" (``dedupe_in_state``). Both are
-    exact: neither drops a late event.
+    ``dedupe``: "history" (default; the sink probes the buckets of ids stored by earlier
+    batches) or "state" (``firstwrite.with_status``). Both are exact, with a status for every
+    valid delivery, and neither drops a late event. ``live`` keeps ``LiveState`` up to date.
     """
-    sink = OrderEventSink(root, clock=clock, history=_dedupe_mode(dedupe) == "history")
+    sink = OrderEventSink(root, clock=clock, live=live)
     stream = with_arrival(spark.readStream.format("text")
                                .option("maxFilesPerTrigger", files_per_trigger)
                                .load(source_dir))
-    if dedupe == "state":
-        stream = dedupe_in_state(stream)
-    query = (stream.writeStream.foreachBatch(sink)
-                   .option("checkpointLocation", checkpoint)
-                   .trigger(availableNow=True)
-                   .start())
+    query = _started(stream, sink, checkpoint, dedupe, {"availableNow": True})
     query.awaitTermination()
     return sink
 
@@ -169,29 +135,33 @@ def run_file_stream(spark: SparkSession, source_dir: str, root: str, checkpoint:
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _dedupe_mode(dedupe: str) -> str:
+def _started(stream: DataFrame, sink: OrderEventSink, checkpoint: str, dedupe: str, trigger: dict):
     if dedupe not in ("history", "state"):
         raise ValueError(f"dedupe must be 'history' or 'state', not {dedupe!r}")
-    return dedupe
+    conf, name = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name)
+    if dedupe == "state":
+        conf.set(name, ROCKSDB)
+        stream = with_status(stream)
+    try:  # a query keeps the settings it was started with
+        return (stream.writeStream.foreachBatch(sink)
+                      .option("checkpointLocation", checkpoint)
+                      .trigger(**trigger)
+                      .start())
+    finally:
+        conf.set(name, before)
 
 
 def start_event_stream(stream: DataFrame, root: str, checkpoint: str, trigger_seconds: float = 2.0,
-                       dedupe: str = "state"):
+                       dedupe: str = "state", live: bool = True):
     """Production form: a running query flushing every ``trigger_seconds``.
 
     ``stream`` must carry ``payload`` (text) and ``arrival`` (an orderable
     arrival position, e.g. Kafka partition/offset). ``dedupe="state"`` (default) looks up only
     the batch's own ids, in a RocksDB state store, so the cost of a batch does not follow
-    the history; "history" reads all stored ids in every batch.
+    the history; "history" opens the stored ids of the batch's own buckets.
     """
-    sink = OrderEventSink(root, history=_dedupe_mode(dedupe) == "history")
-    if dedupe == "state":
-        stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        stream = dedupe_in_state(stream)
-    return (stream.writeStream.foreachBatch(sink)
-                  .option("checkpointLocation", checkpoint)
-                  .trigger(processingTime=f"{trigger_seconds} seconds")
-                  .start())
+    return _started(stream, OrderEventSink(root, live=live), checkpoint, dedupe, {"processingTime": f"{trigger_seconds} seconds"})
 
 
 def kafka_events(spark: SparkSession, servers: str, topic: str, max_per_trigger: int) -> DataFrame:
