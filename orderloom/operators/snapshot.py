@@ -12,7 +12,7 @@ in parallel; a single pretty-printed document can be read with multiLine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fallback label for a product missing from the snapshot.
@@ -43,9 +43,8 @@ def flatten(docs: DataFrame) -> DataFrame:
     """E2 + E3: flattened, enriched cart items (12 columns).
 
     The item's own title wins, else the product's; category and brand fall
-    back to 'unknown'; discountedTotal falls back to discountedPrice. Spark's
-    JSON reader cannot tell an explicit null from an absent key, so a null
-    is treated as absent.
+    back to 'unknown'; discountedTotal falls back to discountedPrice. Only an
+    absent key falls back: an explicit null is a value and stays null.
     """
     items = cart_items(docs)
     products = product_lookup(docs)
@@ -55,17 +54,22 @@ def flatten(docs: DataFrame) -> DataFrame:
         items.observed_at_utc,
         "cart_id", "user_id",
         F.col("item.id").alias("product_id"),
-        F.coalesce(F.col("item.title"), products.title).alias("product_title"),
-        F.coalesce(products.category, F.lit(UNKNOWN)).alias("category"),
-        F.coalesce(products.brand, F.lit(UNKNOWN)).alias("brand"),
+        _given(F.col("item.title"), "string", _given(products.title, "string")).alias("product_title"),
+        _given(products.category, "string", F.lit(UNKNOWN)).alias("category"),
+        _given(products.brand, "string", F.lit(UNKNOWN)).alias("brand"),
         F.col("item.quantity").alias("quantity"),
         F.col("item.price").alias("unit_price"),
         F.col("item.discountPercentage").alias("discount_pct"),
         F.col("item.total").alias("line_total"),
-        F.coalesce(F.col("item.discountedTotal"), F.col("item.discountedPrice")).alias("discounted_total"),
+        _given(F.col("item.discountedTotal"), "double", _given(F.col("item.discountedPrice"), "double")).alias("discounted_total"),
     )
 
 
+def _given(value: Column, kind: str, absent: Column | None = None) -> Column:
+    """A variant field as ``kind``; ``absent`` where the key is not there. Null, or no ``kind``, is NULL."""
+    return F.when(value.isNotNull(), F.try_variant_get(value, "$", kind)).otherwise(F.lit(None) if absent is None else absent)
+
+
 def ingestion_metadata(docs: DataFrame, flat: DataFrame, loaded: DataFrame) -> DataFrame:
     """Per snapshot - distinct products, carts, flattened items, rows loaded back."""
     per_doc = docs.select(

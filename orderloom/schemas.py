@@ -61,22 +61,23 @@ CART_ITEMS = T.StructType([
     T.StructField("discounted_total", T.DoubleType()),
 ])
 
+# Variant fields tell an explicit null (a null variant) from an absent key (NULL).
 _SNAPSHOT_PRODUCT = T.StructType([
     T.StructField("id", T.LongType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("brand", T.StringType()),
+    T.StructField("title", T.VariantType()),
+    T.StructField("category", T.VariantType()),
+    T.StructField("brand", T.VariantType()),
 ])
 
 _SNAPSHOT_ITEM = T.StructType([
     T.StructField("id", T.LongType()),
-    T.StructField("title", T.StringType()),
+    T.StructField("title", T.VariantType()),
     T.StructField("quantity", T.LongType()),
     T.StructField("price", T.DoubleType()),
     T.StructField("discountPercentage", T.DoubleType()),
     T.StructField("total", T.DoubleType()),
-    T.StructField("discountedTotal", T.DoubleType()),
-    T.StructField("discountedPrice", T.DoubleType()),
+    T.StructField("discountedTotal", T.VariantType()),
+    T.StructField("discountedPrice", T.VariantType()),
 ])
 
 _SNAPSHOT_CART = T.StructType([

@@ -13,7 +13,7 @@ id they are unique, so the de-duplication survivor is well defined.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TIE_BREAK = ["tb_partkey", "tb_suppkey", "tb_price"]
@@ -162,7 +162,9 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     p_partkey % 5 = 0 are listed twice, a stale brand first, so the last
     listing must win. Items with l_linenumber % 3 = 0 carry no title (the
     product's title applies); odd lines give discountedPrice instead of
-    discountedTotal.
+    discountedTotal. Explicit nulls: the given title of parts with p_partkey % 11 = 0,
+    the given discountedTotal with % 13 = 0, a product's category with % 17 = 0 and
+    brand with % 19 = 0.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
                                                  "l_discount")
@@ -187,7 +189,7 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     carts = (lines.groupBy("doc", "l_orderkey", "o_custkey")
                   .agg(F.sort_array(F.collect_list(item)).alias("items"))
                   .select("doc", F.struct(F.col("l_orderkey").alias("id"), F.col("o_custkey").alias("userId"),
-                                          F.transform("items", lambda i: i.dropFields("line")).alias("products"))
+                                          F.col("items").alias("products"))
                           .alias("cart"))
                   .groupBy("doc").agg(F.sort_array(F.collect_list("cart")).alias("carts")))
     listed = lines.filter(F.col("p_partkey") % 7 != 0).select("doc", "p_partkey", "p_name", "p_type", "p_brand") \
@@ -200,14 +202,35 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     current = listed.select("doc", entry(1, F.col("p_brand")).alias("p"))
     products = (stale.unionByName(current).groupBy("doc")
                      .agg(F.sort_array(F.collect_list("p")).alias("ps"))
-                     .select("doc", F.transform("ps", lambda p: p.dropFields("seq")).alias("products")))
+                     .select("doc", F.transform("ps", _product).alias("products")))
     observed = F.date_format(F.timestamp_seconds(F.lit(1767225600) + F.col("doc") * 3600), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     return (carts.join(products, "doc", "left")
                  .select(observed.alias("observed_at_utc"),
-                         F.struct(F.coalesce("products", F.array().cast("array<struct<id:bigint,title:string,"
-                                                                       "category:string,brand:string>>"))
+                         F.struct(F.coalesce("products", F.array().cast("array<struct<id:bigint,title:variant,"
+                                                                       "category:variant,brand:variant>>"))
                                   .alias("products")).alias("products"),
-                         F.struct(F.col("carts").alias("carts")).alias("carts")))
+                         F.struct(F.transform("carts", _cart).alias("carts")).alias("carts")))
+
+
+def _field(value: Column, null_every: int, part: Column) -> Column:
+    """A JSON field: absent where ``value`` is null, an explicit null for every ``null_every``-th part."""
+    null = F.parse_json(F.lit("null"))
+    return F.when(value.isNotNull() & (part % null_every == 0), null).otherwise(value.cast("variant"))
+
+
+def _item(i: Column) -> Column:
+    return F.struct(i["id"].alias("id"), _field(i["title"], 11, i["id"]).alias("title"), i["quantity"].alias("quantity"),
+                    i["price"].alias("price"), i["discountPercentage"].alias("discountPercentage"), i["total"].alias("total"),
+                    _field(i["discountedTotal"], 13, i["id"]).alias("discountedTotal"), i["discountedPrice"].cast("variant").alias("discountedPrice"))
+
+
+def _cart(c: Column) -> Column:
+    return F.struct(c["id"].alias("id"), c["userId"].alias("userId"), F.transform(c["products"], _item).alias("products"))
+
+
+def _product(p: Column) -> Column:
+    return F.struct(p["id"].alias("id"), p["title"].cast("variant").alias("title"), _field(p["category"], 17, p["id"]).alias("category"),
+                    _field(p["brand"], 19, p["id"]).alias("brand"))
 
 
 def land_snapshots(spark: SparkSession, sf_dir: str, path: str) -> str:
