@@ -22,6 +22,7 @@ empty table writes no documents; other columns are kept out of the files.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from array import array
 
@@ -40,6 +41,7 @@ ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 CACHED_WORDS = 500_000
 JOINED_BYTES = 6 << 20
+TOGETHER = 64
 CACHED_CHARS = 64
 SPECIAL = "<|"           # begins every special token
 TAIL = ".,!?;:*%$#&|"
@@ -62,37 +64,50 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {"": b""}
 
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each chunk as 32-bit bytes."""
-        words = self.words
-        get, out, cut = words.get, [], []
-        for i, c in enumerate(chunks):
-            found = get(c)
-            if found is None:
-                cut.append((i, *word_and_tail(c)))
-            out.append(found)
-        new = list({w for _, word, tail in cut for w in (word, tail)}.difference(words))
-        for w, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            words[w] = array("I", x.ids).tobytes()
-        for i, word, tail in cut:
-            out[i] = words[word] + words[tail]
-        for w in new:
-            if len(w) > CACHED_CHARS:
-                del words[w]
-        if len(words) > CACHED_WORDS:
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each distinct word as 32-bit bytes."""
+        cached = self.words
+        out = list(map(cached.get, words))
+        missing = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(missing, self._encoded([words[i] for i in missing])):
+            out[i] = x
+            if len(words[i]) <= CACHED_CHARS:
+                cached[words[i]] = x
+        if len(cached) > CACHED_WORDS:
             self.words = {"": b""}
         return out
 
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Words of letters go to the tokenizer ``TOGETHER`` at once, which tells their ids apart; others alone."""
+        out: list = [None] * len(words)
+        plain = [i for i, w in enumerate(words) if w.isalpha() and len(w) <= CACHED_CHARS]
+        groups = [plain[at:at + TOGETHER] for at in range(0, len(plain), TOGETHER)]
+        for group, x in zip(groups, self.tokenizer.encode_batch([" ".join([words[i] for i in g]) for g in groups], add_special_tokens=False)):
+            cuts = [0, *(np.flatnonzero(np.diff(x.word_ids)) * 4 + 4).tolist(), 4 * len(x)]
+            if len(cuts) == len(group) + 1:     # a word that folds to more than letters is several
+                ids = array("I", x.ids).tobytes()
+                for i, a, b in zip(group, cuts, cuts[1:]):
+                    out[i] = ids[a:b]
+        alone = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(alone, self.tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)):
+            out[i] = array("I", x.ids).tobytes()
+        return out
+
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Where each text's ids end, and the ids of all texts in a row."""
         chunks = pc.split_pattern(pa.array([folded(t).replace("\n", " ") for t in texts], pa.large_string()), " ")
         coded = chunks.flatten().dictionary_encode()
-        ids = self._ids(coded.dictionary.to_pylist())
-        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        parts = words_and_tails(coded.dictionary).dictionary_encode()
+        ids = self._ids(parts.dictionary.to_pylist())
         lists = pa.LargeListArray.from_arrays(
-            pa.array(np.concatenate(([0], np.cumsum(sizes)))), pa.Array.from_buffers(pa.uint32(), int(sizes.sum()), [None, pa.py_buffer(b"".join(ids))]))
-        values = lists.take(coded.indices).flatten().to_numpy()
-        upto = np.concatenate(([0], np.cumsum(sizes[coded.indices.to_numpy()])))
+            pa.array(np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids])))),
+            pa.Array.from_buffers(pa.uint32(), sum(map(len, ids)) // 4, [None, pa.py_buffer(b"".join(ids))]))
+        # a chunk's ids: those of its word, then those of its tail
+        both = lists.take(parts.indices)
+        ends = both.offsets.to_numpy()[::2]
+        whole = pa.LargeListArray.from_arrays(pa.array(ends - ends[0]), both.flatten())
+        values = whole.take(coded.indices).flatten().to_numpy()
+        upto = np.concatenate(([0], np.cumsum(np.diff(ends)[coded.indices.to_numpy()])))
         return upto[chunks.offsets.to_numpy()[1:]], values
 
 
@@ -108,10 +123,22 @@ def folded(text: str) -> str:
     return text.lower()
 
 
-def word_and_tail(chunk: str) -> tuple[str, str]:
-    """A word and the punctuation that closes it: pre-tokens of their own. Other chunks stay whole."""
-    word = chunk.rstrip(TAIL)
-    return (word, chunk[len(word):]) if word.isalpha() else (chunk, "")
+def folds_to_letters(word: str) -> bool:
+    """Some letters fold to a letter and a mark, which joins the punctuation after it."""
+    return unicodedata.normalize("NFC", word).lower().isalpha()
+
+
+def words_and_tails(chunks: pa.Array) -> pa.Array:
+    """For each chunk its word, then the punctuation that closes it, pre-tokens of their own; a chunk whose
+    word is not of letters alone stays whole, with an empty tail."""
+    word = pc.utf8_rtrim(chunks, TAIL)
+    plain = pc.and_(pc.utf8_is_alpha(word), pc.string_is_ascii(word)).to_numpy(zero_copy_only=False)
+    other = np.flatnonzero(pc.and_(pc.utf8_is_alpha(word), pc.not_equal(word, chunks)).to_numpy(zero_copy_only=False) & ~plain)
+    plain[other] = [folds_to_letters(w) for w in word.take(pa.array(other)).to_pylist()]
+    word = pc.if_else(pa.array(plain), word, chunks)
+    tails = [c[n:] for c, n in zip(chunks.to_pylist(), pc.utf8_length(word).to_pylist())]
+    both = pa.concat_arrays([word, pa.array(tails, word.type)])
+    return both.take(pa.array(np.arange(2 * len(chunks)).reshape(2, -1).T.ravel()))
 
 
 def _joined(batches):
