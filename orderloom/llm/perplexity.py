@@ -50,8 +50,9 @@ SIGNS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED = 50, 50
 WIDTH, LEAST_SPREAD, LEAST_DOCUMENTS, STEADY_BYTES = 15.0, 20, 50, 2048
 SHIPPED_ROWS = 8_000_000
-PIECE = 1 << 20
-HELD_GRAMS = 2_000_000
+PIECE = 1 << 18
+#: distinct n-grams that a task holds before it passes their counts on
+HELD_GRAMS = 1_000_000
 UNKNOWN = "und"
 
 _FOLD = bytes([1, *range(1, 65), *range(97, 123), *range(91, 256)])
@@ -119,6 +120,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     def count(batches):
         held: dict = {}
 
+        def size():
+            return sum(len(g) for own in held.values() for g, _ in own)
+
         def emit():
             for lang, found in held.items():
                 grams, counts = _merged(found)
@@ -139,12 +143,13 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     found, counts = np.unique(grams[grams & np.uint64(255) != 0], return_counts=True)
                     if len(found):
                         own.append((found, counts))
-                if sum(len(g) for g, _ in own) > HELD_GRAMS:
-                    own[:] = [_merged(own)]
                 if not own:
                     del held[lang]
-            if sum(len(g) for own in held.values() for g, _ in own) > 2 * HELD_GRAMS:
-                yield from emit()
+            if size() > HELD_GRAMS:
+                for own in held.values():
+                    own[:] = [_merged(own)]
+                if size() > HELD_GRAMS // 2:
+                    yield from emit()
         yield from emit()
 
     found = docs.select("lang", "text").mapInArrow(count, "lang string, gram bigint, n bigint")
