@@ -42,10 +42,10 @@ from orderloom.session import scratch_path
 
 LEAST, LONGEST = 30, 4
 PERCENT, TOP, SCALE = 80, 2000, 2_000_000
-SHARDS = 3
+SHARDS = 2
 UNKNOWN = "und"
 #: words in one stored row, all languages that a task holds at most, and bits of a filter at most
-ROW_WORDS, HELD_WORDS, MOST_BITS = 400_000, 1_600_000, 1 << 28
+ROW_WORDS, HELD_WORDS, MOST_BITS = 800_000, 2_000_000, 1 << 28
 PROBES = 4
 #: rows of the phrases that running sums need, up to which they are shipped to the scans of the counts
 SHIPPED_PHRASES = 600_000
@@ -233,10 +233,12 @@ def part(phrase: Column, k: Column, first: Column, n: Column) -> Column:
 
 
 def _summed(counts: DataFrame, wanted: DataFrame, reached: DataFrame | None, shards: int) -> DataFrame:
-    """lang, k, phrase, n: what ``wanted`` phrases (lang, phrase) have counted in the scans that are theirs."""
+    """lang, k, phrase, n: what ``wanted`` phrases (lang, phrase, name) have counted in the scans that are theirs."""
+    names = wanted.select("name").distinct()
     if wanted.count() <= SHIPPED_PHRASES:
-        wanted = F.broadcast(wanted)
-    seen = counts.join(wanted, ["lang", "phrase"], "left_semi")
+        names = F.broadcast(names)
+    # first by a short name, which few others share; then by the phrase
+    seen = counts.join(names, "name", "left_semi").join(wanted, ["lang", "phrase"], "left_semi")
     first = F.lit(0)
     if reached is not None:
         steps = reached.select("lang", F.col("phrase").alias("sub"), "step")
@@ -258,6 +260,10 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
+def short_name() -> Column:
+    return F.xxhash64("lang", "phrase")
+
+
 def frequent_phrases(docs: DataFrame, *, least: int = LEAST, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, n) of all words and phrases with ``n`` >= ``least``, and (lang, n): all words."""
     spark: SparkSession = docs.sparkSession
@@ -274,10 +280,10 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST, shards: int = SHARD
         reached = _joined([f for f in filters if f])
         late = _joined([f for f in filters[-shards:] if f])
         with arrow_rows(spark, 1):
-            counts.append(stored(scan(own, step < shards, reached, late).withColumn("scan", F.lit(step)), "phrase-counts"))
+            counts.append(stored(scan(own, step < shards, reached, late).withColumns({"scan": F.lit(step), "name": short_name()}), "phrase-counts"))
         # only the last cycle counts for what is not complete
         recent = _all(counts[-shards:])
-        often = recent.where(F.col("n") >= -(-least // shards)).select("lang", "phrase").distinct()
+        often = recent.where(F.col("n") >= -(-least // shards)).select("lang", "phrase", "name").distinct()
         before = _all(found) if found else None
         if before is not None:
             often = often.join(before, ["lang", "phrase"], "left_anti")
@@ -288,7 +294,7 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST, shards: int = SHARD
         filters.append(filter_of(subs, sizes[-1]) if sizes[-1] else None)
         step += 1
     every = stored(_all(found), "phrase-all")
-    whole = stored(_summed(_all(counts), every.select("lang", "phrase"), every, shards), "phrase-totals")
+    whole = stored(_summed(_all(counts), every.select("lang", "phrase", short_name().alias("name")), every, shards), "phrase-totals")
     words = _all(counts[:shards]).where("k = 1").groupBy("lang").agg(F.sum("n").alias("n"))
     return whole, words
 
