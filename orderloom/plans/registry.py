@@ -20,11 +20,16 @@ from orderloom.operators.cleaning import dedupe_by_key
 from orderloom.operators.joins import salted_join
 from orderloom.plans import analytics, olap, slices, storage, views
 from orderloom.plans.registry_more import more_queries
+from orderloom.plans.snapshot_queries import cart_items_csv
 from orderloom.plans.warehouse import Warehouse
+from orderloom.schemas import RAW_ORDERS
 from orderloom.session import configure, scratch_path
 from orderloom.sinks import files as sinks
 from orderloom.sources import files as sources
 from orderloom.sources import testmap
+from orderloom.sources.csv_splits import read_csv_splits
+from orderloom.sources.dialect import detect
+from orderloom.sources.infer import read_csv_inferred
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,6 +120,30 @@ def scan_orders_csv(spark, sf_dir):
     return sources.read_orders_csv(spark, path)
 
 
+def scan_orders_csv_dialects(spark, sf_dir):
+    """The raw feed landed with four delimiters, each read back by its detected dialect; rows by delimiter."""
+    found = None
+    for name, delimiter in (("comma", ","), ("semicolon", ";"), ("tab", "\t"), ("pipe", "|")):
+        path = scratch_path(spark, f"raw_orders_{name}")
+        sources.write_orders_csv(_raw(spark, sf_dir), path, delimiter)
+        own = sources.read_orders_csv(spark, path).withColumn("delimiter", F.lit(name))
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
+def scan_orders_csv_splits(spark, sf_dir):
+    """The raw feed read record by record from splits of its files, whatever their size."""
+    path = scratch_path(spark, "raw_orders_splits")
+    sources.write_orders_csv(_raw(spark, sf_dir), path)
+    return read_csv_splits(spark, path, RAW_ORDERS, detect(spark, path))
+
+
+def scan_cart_items_inferred(spark, sf_dir):
+    """The cart items CSV with the types of its values (the instant shown without its zone, UTC)."""
+    found = read_csv_inferred(spark, cart_items_csv(spark, sf_dir))
+    return found.withColumn("observed_at_utc", F.col("observed_at_utc").cast("timestamp_ntz"))
+
+
 def export_sales_parquet(spark, sf_dir):
     """K1: export year/month partitioned Parquet, return the table read back."""
     path = scratch_path(spark, "sales_parquet")
@@ -242,6 +271,9 @@ def batch_queries() -> dict[str, Query]:
         "scan_sales_parquet": scan_sales_parquet,
         "export_sales_parquet": export_sales_parquet,
         "scan_orders_csv": scan_orders_csv,
+        "scan_orders_csv_dialects": scan_orders_csv_dialects,
+        "scan_orders_csv_splits": scan_orders_csv_splits,
+        "scan_cart_items_inferred": scan_cart_items_inferred,
         "export_result_csv": export_result_csv,
     }
 

@@ -30,7 +30,8 @@ def snapshot_flatten(spark, sf_dir):
     return snapshot.flatten(sources.read_snapshots(spark, _landed(spark, sf_dir)))
 
 
-def _cart_items_csv(spark, sf_dir) -> str:
+def cart_items_csv(spark, sf_dir) -> str:
+    """A fresh CSV of the flattened items."""
     path = scratch_path(spark, "cart_items_csv")
     sinks.export_result_csv(snapshot_flatten(spark, sf_dir), path)
     return path
@@ -38,14 +39,14 @@ def _cart_items_csv(spark, sf_dir) -> str:
 
 def scan_cart_items_csv(spark, sf_dir):
     """K7 + S2: flattened items written as header CSV and read back typed."""
-    return sources.read_cart_items_csv(spark, _cart_items_csv(spark, sf_dir))
+    return sources.read_cart_items_csv(spark, cart_items_csv(spark, sf_dir))
 
 
 def snapshot_metadata(spark, sf_dir):
     """Per snapshot - products, carts, flattened items, rows loaded back from CSV."""
     docs = sources.read_snapshots(spark, _landed(spark, sf_dir))
     flat = snapshot.flatten(docs)
-    loaded = sources.read_cart_items_csv(spark, _cart_items_csv(spark, sf_dir))
+    loaded = sources.read_cart_items_csv(spark, cart_items_csv(spark, sf_dir))
     return snapshot.ingestion_metadata(docs, flat, loaded)
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.schemas import CART_ITEMS, RAW_ORDERS
+from orderloom.sources.csv_splits import read_csv_splits
+from orderloom.sources.dialect import Dialect, detect
 
 _CORRUPT = "_corrupt_record"
 
@@ -17,24 +19,35 @@ RESULT_CSV_WRITE = RESULT_CSV | {"nullValue": "", "emptyValue": '""'}
 RESULT_CSV_READ = RESULT_CSV | {"nullValue": "\0", "emptyValue": "", "multiLine": True}
 
 
-def read_orders_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def _splits(spark: SparkSession, path: str) -> bool:
+    """Whether a file at ``path`` is larger than one task should read."""
+    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    return largest is not None and largest > limit
+
+
+def read_orders_csv(spark: SparkSession, path: str, multi_line: bool = True, dialect: Dialect | None = None) -> DataFrame:
     """Header CSV, 16 text columns, malformed lines skipped.
 
+    The delimiter, quote and escape are told from a sample of the lines unless ``dialect``
+    names them; lines that no delimiter cuts evenly are an error.
+
     PERMISSIVE with a corrupt-record column and an explicit filter: unlike
     DROPMALFORMED, the drop does not depend on which columns a later query
     happens to prune. A quoted empty string reads as NULL.
 
-    ``multi_line`` lets quoted fields span lines; such a file is parsed by one
-    task, so land big feeds as many files, or pass False for a feed without
-    embedded newlines and Spark splits each file by maxPartitionBytes.
+    ``multi_line`` lets quoted fields span lines. Spark's reader parses such a file in
+    one task; files of more than maxPartitionBytes are read in many tasks instead
+    (``csv_splits``). Pass False for a feed without embedded newlines.
     """
+    dialect = dialect or detect(spark, path)
+    if multi_line and _splits(spark, path):
+        return read_csv_splits(spark, path, RAW_ORDERS, dialect)
     schema = T.StructType(RAW_ORDERS.fields + [T.StructField(_CORRUPT, T.StringType(), True)])
     df = (spark.read.schema(schema)
                .option("header", True)
                .option("multiLine", multi_line)
-               .option("escape", '"')
-               .option("ignoreLeadingWhiteSpace", False)
-               .option("ignoreTrailingWhiteSpace", False)
+               .options(**dialect.options())
                .option("mode", "PERMISSIVE")
                .option("columnNameOfCorruptRecord", _CORRUPT)
                .csv(path))
@@ -45,11 +58,10 @@ def read_orders_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
     return df.filter(F.col(_CORRUPT).isNull() & parsed).select(*RAW_ORDERS.fieldNames())
 
 
-def write_orders_csv(raw: DataFrame, path: str) -> None:
+def write_orders_csv(raw: DataFrame, path: str, delimiter: str = ",") -> None:
     """Write a raw feed as header CSV, keeping surrounding spaces (Spark trims by default)."""
     (raw.select(*RAW_ORDERS.fieldNames()).write.mode("overwrite")
-        .option("header", True).option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .option("header", True).options(**Dialect(delimiter).options())
         .csv(path))
 
 
