@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -73,11 +75,22 @@ def per_worker(key, make: Callable):
     one asks for its own, so a pipeline needs no more memory than its largest stage.
     """
     if key not in _WORKER:
-        _WORKER.clear()
+        if _WORKER:
+            _WORKER.clear()
+            _give_back()
         _WORKER[key] = make()
     return _WORKER[key]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of every text; a null text is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

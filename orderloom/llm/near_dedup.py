@@ -43,6 +43,7 @@ PERCENT = 85             # links: 100 * intersection >= PERCENT * union
 BANDS, ROWS = 16, 4
 SLOTS = BANDS * ROWS
 BLOCK = 256
+SIGNED = 200_000
 CACHED_WORDS = 300_000
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = 0x9E3779B97F4A7C15
@@ -125,6 +126,18 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> n
     return keys.view(np.int64)
 
 
+def _parts(sets: list[np.ndarray]):
+    """Runs of sets of at most ``SIGNED`` elements, or one larger set."""
+    part, held = [], 0
+    for s in sets:
+        if part and held + len(s) > SIGNED:
+            yield part
+            part, held = [], 0
+        part.append(s)
+        held += len(s)
+    yield part
+
+
 def signatures(docs: DataFrame, text_col: str, words: int = WORDS) -> DataFrame:
     """``doc`` with n_shingles, fp (128-bit name of the set) and keys (one per band; null for an empty set)."""
 
@@ -133,7 +146,7 @@ def signatures(docs: DataFrame, text_col: str, words: int = WORDS) -> DataFrame:
 
         def work(texts):
             sets = [shingle_set(t, hashes, words) for t in texts]
-            keys = band_keys(super_minhash(sets))
+            keys = np.concatenate([band_keys(super_minhash(some)) for some in _parts(sets)])
             empty = np.array([not len(s) for s in sets])
             return [pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
