@@ -16,6 +16,9 @@ empty tables and extra columns are treated as the operators say.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,27 @@ from orderloom.llm.common import stored, table, undoc
 LEAST_SCORE = 0.5
 
 
+@contextmanager
+def _compact(spark: SparkSession):
+    """Tables written inside are zstd: smaller, and without the codec buffers that executors keep outside their heap."""
+    name = "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "zstd")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _stage(f):
+    @wraps(f)
+    def run_compact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with _compact(spark):
+            return f(spark, docs, sf_dir)
+    return run_compact
+
+
+@_stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.learn(langid.learning_rows(docs))
     # stored: the texts are scored once, for the calibration and for the filter
@@ -34,19 +58,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return undoc(found.where(told & langid.plausible(found, rows)), docs)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dedup.drop_near_duplicates(docs)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(docs).where("reps > 0")
     return undoc(mixed.select("doc", F.explode(F.sequence(F.lit(1), F.col("reps").cast("int"))).alias("copy")), docs)
 
 
+@_stage
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return tokens.round_trip(docs)
 
