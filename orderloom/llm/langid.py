@@ -5,7 +5,8 @@ over all ways to cut the word into pieces of a fixed public vocabulary, of the
 product of the pieces' probabilities (a forward pass over the word). The piece
 probabilities of a language come from counts over every learning row: each
 task counts the pieces of its words, Spark sums the counts by language and
-piece. Words recur, so a task keeps the scores of the words it has met in a
+piece: of the pieces that a greedy cut of each word from the left into the longest ones
+gives, as the counts before any probabilities are known. Words recur, so a task keeps the scores of the words it has met in a
 bounded cache; the score of a text is then a sum over all of its words.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0;
@@ -35,7 +36,6 @@ from orderloom.llm.common import BATCH_ROWS, map_texts, per_worker
 
 UNKNOWN = "und"
 SMOOTHING = 0.5       # added to the count of every piece
-LONGEST_PIECE = 12    # letters
 UNKNOWN_LETTER = 1e-6
 SCALE = 20.0
 CACHED_WORDS = 300_000
@@ -56,18 +56,22 @@ def vocabulary(path: str) -> dict[str, int]:
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).replace("▁", "").lower() for i in range(model.get_piece_size())}
-    return {p: i for i, p in enumerate(sorted(p for p in pieces if p.isalpha() and len(p) <= LONGEST_PIECE))}
+    return {p: i for i, p in enumerate(sorted(p for p in pieces if p.isalpha()))}
 
 
 def text_words(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
-def longest_pieces(word: str, pieces: dict[str, int]) -> list[int]:
+def longest_piece(pieces: dict[str, int]) -> int:
+    return max(map(len, pieces), default=1)
+
+
+def longest_pieces(word: str, pieces: dict[str, int], longest: int) -> list[int]:
     """The word cut from the left into the longest pieces; letters outside are left out."""
     out, at = [], 0
     while at < len(word):
-        for end in range(min(len(word), at + LONGEST_PIECE), at, -1):
+        for end in range(min(len(word), at + longest), at, -1):
             piece = pieces.get(word[at:end])
             if piece is not None:
                 out.append(piece)
@@ -78,10 +82,10 @@ def longest_pieces(word: str, pieces: dict[str, int]) -> list[int]:
 
 class _PieceCache(dict):
     def __init__(self, pieces):
-        self.pieces = pieces
+        self.pieces, self.longest = pieces, longest_piece(pieces)
 
     def __missing__(self, word):
-        found = longest_pieces(word, self.pieces)
+        found = longest_pieces(word, self.pieces, self.longest)
         if len(self) > CACHED_WORDS:
             self.clear()
         if len(word) <= 64:
@@ -181,7 +185,7 @@ class Scorer(dict):
 
     def __init__(self, model: LanguageModel):
         pieces = vocabulary(model.path)
-        self.n, self.trie = len(model.langs), Trie(pieces)
+        self.n, self.trie, self.longest = len(model.langs), Trie(pieces), longest_piece(pieces)
         #: probabilities are scaled by a constant per letter so that sums of short words stay near 1
         self.scaled = model.probability.T * SCALE ** np.array([len(p) for p in pieces])[:, None]
         self.table = np.zeros((1024, self.n + 1))
@@ -194,17 +198,17 @@ class Scorer(dict):
         """
         trie, codes = self.trie, self.trie.codes(words)
         lengths = np.array([len(w) for w in words])
-        alpha = np.zeros((len(words), codes.shape[1] + LONGEST_PIECE + 1, self.n))
+        alpha = np.zeros((len(words), codes.shape[1] + self.longest + 1, self.n))
         alpha[:, 0] = 1.0
         logs = np.zeros((len(words), self.n))
         for at in range(codes.shape[1]):
             rows = np.flatnonzero(lengths > at)
             if at and at % 16 == 0:
                 now = alpha[rows, at]
-                alpha[rows, at:at + LONGEST_PIECE] /= now[:, None]
+                alpha[rows, at:at + self.longest] /= now[:, None]
                 logs[rows] += np.log(now)
             node, alone = np.zeros(len(rows), np.int64), rows
-            for k in range(min(LONGEST_PIECE, codes.shape[1] - at)):
+            for k in range(min(self.longest, codes.shape[1] - at)):
                 key = node * trie.width + codes[rows, at + k]
                 place = np.minimum(np.searchsorted(trie.keys, key), len(trie.keys) - 1)
                 on = trie.keys[place] == key

@@ -27,6 +27,33 @@ def test_forward_pass_sums_all_segmentations():
             assert scorer.score_words([word, "a", "xyz" * 30])[0, lang] == pytest.approx(math.log(total), rel=1e-9)
 
 
+def test_the_longest_pieces_take_part():
+    pieces = L.vocabulary(L.default_vocabulary())
+    longest = max(pieces, key=len)
+    assert len(longest) > 12
+    counts = np.ones((2, len(pieces)))
+    counts[0, pieces[longest]] = 1e6                    # the language that knows the whole piece
+    scorer = L.Scorer(L.LanguageModel(["x", "y"], counts, L.default_vocabulary()))
+    x, y = scorer.score_words([longest])[0]
+    assert x == pytest.approx(math.log((1e6 + L.SMOOTHING) / (counts[0] + L.SMOOTHING).sum()), abs=1e-3) and x > y + 5
+
+
+def test_greedy_pieces_are_counted(spark):
+    pieces = L.vocabulary(L.default_vocabulary())
+    texts = [("x", "Thing things THING xyzzy"), ("y", "años\nthing 中"), ("x", None), ("x", "")]
+    expected = {}
+    for lang, text in texts:
+        for word in L.LETTERS.findall((text or "").lower()):
+            while word:
+                for end in range(len(word), 0, -1):
+                    if word[:end] in pieces:
+                        expected[lang, pieces[word[:end]]] = expected.get((lang, pieces[word[:end]]), 0) + 1
+                        break
+                word = word[end:]
+    got = L.piece_counts(spark.createDataFrame(texts, "lang string, text string").where("text IS NOT NULL"), L.default_vocabulary())
+    assert {(r.lang, r.piece): r.n for r in got.collect()} == expected
+
+
 def test_very_long_words_stay_finite():
     pieces = L.vocabulary(L.default_vocabulary())
     scorer = L.Scorer(L.LanguageModel(["x"], np.ones((1, len(pieces))), L.default_vocabulary()))
