@@ -1,13 +1,15 @@
-"""Line de-duplication over the corpus: hashes travel, text does not.
+"""Line de-duplication over the corpus: what is repeated is found on hashes alone.
 
 Every line of at least ``min_chars`` code points (stripped, A-Z lower-cased)
 becomes a 128-bit hash with its document and position. The occurrences are
-range-partitioned and sorted by (hash, document, position), so that one hash
+range-partitioned by (hash, document, position), so that one hash
 held by a third of all documents is spread over many partitions; each
-partition streams its first occurrence of every hash, and only those few rows
-meet to give the owner of the line. The lines to drop return to their
-documents as a compressed keep bitmap: the 64-bit words that are not all ones.
-The text itself is split again where the bitmap is applied.
+partition gives the first and last document of every hash, and only those few rows
+meet to give the owner of the line. (Spark's functions take a first occurrence with
+an aggregate, which needs no order inside a partition, so the plan has no sort there.)
+The lines to drop return to their documents as a compressed keep bitmap: the 64-bit
+words that are not all ones. Only the last join moves texts: each document once, to
+its bitmap, where the text is split again.
 
 Spark functions only, no Python on the executors.
 
@@ -55,9 +57,8 @@ def repeated_lines(occurrences: DataFrame) -> DataFrame:
 
     The composite range key splits a hot hash; a partition sends one row per hash.
     """
-    ordered = (occurrences.select("h", "g", "doc", "pos").repartitionByRange("h", "g", "doc", "pos")
-               .sortWithinPartitions("h", "g", "doc", "pos"))
-    return (ordered.groupBy("h", "g").agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
+    ranged = occurrences.select("h", "g", "doc", "pos").repartitionByRange("h", "g", "doc", "pos")
+    return (ranged.groupBy("h", "g").agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
             .where(F.col("owner") != F.col("last")).select("h", "g", "owner"))
 
 
@@ -76,8 +77,8 @@ def _bitmaps(documents: DataFrame, min_chars: int) -> DataFrame:
     repeated = stored(repeated_lines(occurrences), "repeated-lines")
     dropped = occurrences.join(repeated, ["h", "g"]).where(F.col("doc") != F.col("owner"))
     bit = F.expr("shiftleft(1L, pos % 64)")
-    words = (dropped.repartition("doc", "row")
-             .groupBy("doc", "row", F.floor(F.col("pos") / 64).cast("int").alias("word"))
+    # summed before the shuffle: many copies without an id are one (doc, row)
+    words = (dropped.groupBy("doc", "row", F.floor(F.col("pos") / 64).cast("int").alias("word"))
              .agg(F.bitwise_not(F.bit_or(bit)).alias("bits")))
     return words.groupBy("doc", "row").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("keep"))
 
