@@ -40,7 +40,7 @@ END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 CACHED_WORDS = 500_000
-JOINED_BYTES = 6 << 20
+JOINED_BYTES = 10 << 20
 TOGETHER = 64
 CACHED_CHARS = 64
 SPECIAL = "<|"           # begins every special token
@@ -136,8 +136,12 @@ def words_and_tails(chunks: pa.Array) -> pa.Array:
     other = np.flatnonzero(pc.and_(pc.utf8_is_alpha(word), pc.not_equal(word, chunks)).to_numpy(zero_copy_only=False) & ~plain)
     plain[other] = [folds_to_letters(w) for w in word.take(pa.array(other)).to_pylist()]
     word = pc.if_else(pa.array(plain), word, chunks)
-    tails = [c[n:] for c, n in zip(chunks.to_pylist(), pc.utf8_length(word).to_pylist())]
-    both = pa.concat_arrays([word, pa.array(tails, word.type)])
+    closed = pa.array(np.flatnonzero(pc.not_equal(word, chunks).to_numpy(zero_copy_only=False)))
+    tails = pa.array([c[n:] for c, n in zip(chunks.take(closed).to_pylist(), pc.utf8_length(word.take(closed)).to_pylist())], word.type)
+    # number 0 is the empty tail
+    which = np.zeros(len(chunks), np.int64)
+    which[closed.to_numpy()] = np.arange(1, len(tails) + 1)
+    both = pa.concat_arrays([word, pa.concat_arrays([pa.array([""], word.type), tails]).take(pa.array(which))])
     return both.take(pa.array(np.arange(2 * len(chunks)).reshape(2, -1).T.ravel()))
 
 
