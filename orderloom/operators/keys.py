@@ -26,7 +26,7 @@ _ROW_BITS = 33
 
 
 def with_dense_key(df: DataFrame, order_col: str, key_col: str,
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, key_type: str = "int") -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -43,8 +43,8 @@ def with_dense_key(df: DataFrame, order_col: str, key_col: str,
         offsets.append((int(p), running))
         running += int(c)
     if not offsets:
-        return ranged.withColumn(key_col, F.lit(None).cast("int")).limit(0)
+        return ranged.withColumn(key_col, F.lit(None).cast(key_type)).limit(0)
     offset_df = spark.createDataFrame(offsets, "_p long, _off long")
     keyed = tagged.join(F.broadcast(offset_df), part == F.col("_p"))
-    key = (F.col("_off") + pos + F.lit(1)).cast("int").alias(key_col)
+    key = (F.col("_off") + pos + F.lit(1)).cast(key_type).alias(key_col)
     return keyed.select(key, *[F.col(c) for c in df.columns])

@@ -17,6 +17,7 @@ from orderloom.functions import (
     trimmed, try_double, try_integer, try_timestamp,
 )
 from orderloom.operators.cleaning import dedupe_by_key
+from orderloom.operators.distinct import distinct_bitmaps, distinct_counts
 from orderloom.operators.joins import salted_join
 from orderloom.plans import analytics, olap, slices, storage, views
 from orderloom.plans.registry_more import more_queries
@@ -178,6 +179,29 @@ def _on_stored(fn) -> Query:
     return lambda spark, sf_dir: fn(stored(spark, sf_dir))
 
 
+def _bitmaps(spark, sf_dir) -> DataFrame:
+    """The bitmaps of the sales, written and read back: the counts below read no line."""
+    path = scratch_path(spark, "distinct_bitmaps")
+    bitmaps = distinct_bitmaps(_sales(spark, sf_dir))
+    bitmaps.write.parquet(path)
+    return spark.read.schema(bitmaps.schema).parquet(path)
+
+
+def daily_distinct_merged(spark, sf_dir):
+    """V2's distinct orders and customers per day, from bitmaps."""
+    return distinct_counts(_bitmaps(spark, sf_dir), F.col("order_day").alias("sales_date"))
+
+
+def label_distinct_merged(spark, sf_dir):
+    """Distinct orders and customers by category, by region and over all, from the same bitmaps."""
+    bitmaps, found = _bitmaps(spark, sf_dir), None
+    for by in ("category", "region", None):
+        part = distinct_counts(bitmaps, by) if by else distinct_counts(bitmaps)
+        part = part.select(F.lit(by or "all").alias("grouped_by"), (F.col(by) if by else F.lit(None)).cast("string").alias("label"), "orders", "customers")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def salted_sales(wh) -> DataFrame:
     """The view through the salted shuffle join, whatever the size of the dimensions."""
     return wh.enriched(lambda big, dim, key: salted_join(big, dim, key, rows_per_task=5_000))
@@ -270,6 +294,8 @@ def batch_queries() -> dict[str, Query]:
         "region_category_revenue": _on_sales(storage.region_category_revenue),
         "scan_sales_parquet": scan_sales_parquet,
         "export_sales_parquet": export_sales_parquet,
+        "daily_distinct_merged": daily_distinct_merged,
+        "label_distinct_merged": label_distinct_merged,
         "scan_orders_csv": scan_orders_csv,
         "scan_orders_csv_dialects": scan_orders_csv_dialects,
         "scan_orders_csv_splits": scan_orders_csv_splits,
