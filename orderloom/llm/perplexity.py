@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from orderloom.llm.common import BATCH_ROWS, arrow_rows, as_doc, per_worker, stored, text_bytes, undoc
+from orderloom.llm.common import BATCH_ROWS, arrow_rows, as_doc, compact, per_worker, stored, text_bytes, undoc
 from orderloom.llm.langid import _Shared
 from orderloom.llm.near_dedup import mix
 
@@ -403,6 +403,11 @@ def bands(scored: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", shipped_rows: int = SHIPPED_ROWS) -> DataFrame:
     """``doc`` (every column but the text), the base counts, base_failed, rate (thousandths of a bit a byte), kept."""
+    with compact(docs.sparkSession):
+        return _judged(docs, text_col, lang_col, shipped_rows)
+
+
+def _judged(docs: DataFrame, text_col: str, lang_col: str, shipped_rows: int) -> DataFrame:
     spark = docs.sparkSession
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     counted, scoring = _keys(lang_col, text_col)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orderloom.llm.common import BATCH_ROWS, arrow_rows, stored, text_bytes
+from orderloom.llm.common import BATCH_ROWS, arrow_rows, compact, stored, text_bytes
 from orderloom.llm.near_dedup import mix
 from orderloom.session import scratch_path
 
@@ -326,7 +326,8 @@ def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
                  top: int | None = TOP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first ``top`` phrases (None: all)."""
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    whole, words = frequent_phrases(texts, least=least, shards=shards)
+    with compact(docs.sparkSession):
+        whole, words = frequent_phrases(texts, least=least, shards=shards)
     phrases = whole.where("k > 1").select("lang", "k", "phrase", F.col("n").alias("a"))
 
     cuts = phrases.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("k") - 1)))
