@@ -16,36 +16,23 @@ empty tables and extra columns are treated as the operators say.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import decontaminate, langid, mixing, near_dedup, tokens
-from orderloom.llm.common import stored, table, undoc
+from orderloom.llm.common import compact, stored, table, undoc
 
 LEAST_SCORE = 0.5
 
 
-@contextmanager
-def _compact(spark: SparkSession):
-    """Tables written inside are zstd: smaller, and without the codec buffers that executors keep outside their heap."""
-    name = "spark.sql.parquet.compression.codec"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "zstd")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _stage(f):
     @wraps(f)
-    def run_compact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        with _compact(spark):
+    def compactly(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with compact(spark):
             return f(spark, docs, sf_dir)
-    return run_compact
+    return compactly
 
 
 @_stage
