@@ -12,8 +12,8 @@ from pyspark.sql import SparkSession
 SAMPLE_LINES = 2000
 # What is tried, the likelier first.
 DELIMITERS, QUOTES, ESCAPES = (",", ";", "\t", "|"), ('"', "'"), ("doubled", "\\")
-#: share of the records that must have the usual number of fields
-CONSISTENT = 0.8
+#: share of the records that must have the usual number of fields; malformed ones are no reason to doubt the rest
+CONSISTENT = 0.5
 
 
 @dataclass(frozen=True)
