@@ -51,13 +51,20 @@ def _decimal(text: Column) -> Column:
     return text.try_cast("decimal(38,10)")
 
 
+def _read_fields() -> dict[str, Column]:
+    """Fields of ``e`` that several rules and typed columns share, read once per payload."""
+    e = lambda name: F.col("e")[name]
+    return {"_time": _event_time(e("event_time")), "_q": _decimal(e("quantity")), "_p": _decimal(e("unit_price")),
+            "_d": _decimal(e("discount_pct")), **{f"_{name}": normalize_text(e(name)) for name in TEXT_LIMITS}}
+
+
 def _rules() -> list[tuple[str, Column]]:
-    """(message, failing predicate) per rule, on the parsed text struct ``e``."""
+    """(message, failing predicate) per rule, on the parsed text struct ``e`` and ``_read_fields``."""
     e = lambda name: F.col("e")[name]
     rules: list[tuple[str, Column]] = [
         ("invalid JSON payload", F.col("e").isNull() | e("_corrupt_record").isNotNull()),
         ("event_id: not a UUID", e("event_id").isNotNull() & ~e("event_id").rlike(_UUID)),
-        ("event_time: not a datetime", e("event_time").isNotNull() & _event_time(e("event_time")).isNull()),
+        ("event_time: not a datetime", e("event_time").isNotNull() & F.col("_time").isNull()),
     ]
     for name, (low, high) in TEXT_LIMITS.items():
         text = e(name)
@@ -66,15 +73,15 @@ def _rules() -> list[tuple[str, Column]]:
                       text.isNotNull() & ~F.char_length(text).between(low, high)))
         rules.append((f"{name}: value cannot be blank",
                       text.isNotNull() & F.char_length(text).between(low, high)
-                      & (F.char_length(normalize_text(text)) == 0)))
-    q = _decimal(e("quantity"))
+                      & (F.char_length(F.col(f"_{name}")) == 0)))
+    q = F.col("_q")
     rules += [
         ("quantity: field required", e("quantity").isNull()),
         ("quantity: must be a whole number", e("quantity").isNotNull() & (q.isNull() | (q != F.round(q, 0)))),
         ("quantity: must be > 0 and <= 100",
          q.isNotNull() & (q == F.round(q, 0)) & ~((q > 0) & (q <= QUANTITY_MAX))),
     ]
-    p = _decimal(e("unit_price"))
+    p = F.col("_p")
     places = F.when(p == F.round(p, 0), 0).when(p == F.round(p, 1), 1).when(p == F.round(p, 2), 2).otherwise(3)
     whole = F.floor(F.abs(p))
     int_digits = F.when(whole == 0, 0).otherwise(F.char_length(whole.cast("string")))
@@ -89,7 +96,7 @@ def _rules() -> list[tuple[str, Column]]:
          p.isNotNull() & (places <= PRICE_MAX_PLACES) & (int_digits + places <= PRICE_MAX_DIGITS)
          & (int_digits > PRICE_MAX_WHOLE)),
     ]
-    d = _decimal(e("discount_pct"))
+    d = F.col("_d")
     rules += [
         ("discount_pct: not a decimal", e("discount_pct").isNotNull() & d.isNull()),
         ("discount_pct: must be >= 0 and <= 0.80",
@@ -116,7 +123,8 @@ def validate(df: DataFrame, payload: str = "payload", now: Column | None = None)
     payload, so a redelivered copy keeps the same id.
     """
     now = now if now is not None else F.current_timestamp()
-    parsed = parse_payload(df, payload)
+    read = _read_fields()
+    parsed = parse_payload(df, payload).withColumns(read)
     rules = _rules()
     # a default stands for an absent field; an explicit null is no value of its type
     keys = F.coalesce(F.json_object_keys(F.col(payload)), F.array().cast("array<string>"))
@@ -132,14 +140,14 @@ def validate(df: DataFrame, payload: str = "payload", now: Column | None = None)
     hex32 = F.coalesce(raw_id, F.substring(digest, 1, 32))
     event_id = F.concat_ws("-", F.substring(hex32, 1, 8), F.substring(hex32, 9, 4), F.substring(hex32, 13, 4),
                            F.substring(hex32, 17, 4), F.substring(hex32, 21, 12))
-    discount = F.coalesce(_decimal(e("discount_pct")), F.lit(0)).try_cast("decimal(12,10)")
-    price = _decimal(e("unit_price")).try_cast("decimal(12,2)")
-    quantity = _decimal(e("quantity")).try_cast("int")
+    discount = F.coalesce("_d", F.lit(0)).try_cast("decimal(12,10)")
+    price = F.col("_p").try_cast("decimal(12,2)")
+    quantity = F.col("_q").try_cast("int")
     typed = {
         "errors": errors,
         "event_id": event_id,
-        "event_time": F.coalesce(_event_time(e("event_time")), now),
-        **{name: normalize_text(e(name)) for name in TEXT_LIMITS},
+        "event_time": F.coalesce("_time", now),
+        **{name: F.col(f"_{name}") for name in TEXT_LIMITS},
         "quantity": quantity,
         "unit_price": price,
         "discount_exact": discount,
@@ -157,7 +165,7 @@ def validate(df: DataFrame, payload: str = "payload", now: Column | None = None)
         "unit_price": F.when(valid_only, F.col("unit_price")),
         "net_revenue": F.when(valid_only, net_revenue("unit_price", "quantity", "discount_exact")),
         "discount_pct": F.when(valid_only, F.col("discount_exact").cast("decimal(5,4)")),
-    }).drop("e", "discount_exact")
+    }).drop("e", "discount_exact", *read)
 
 
 def with_arrival(stream: DataFrame) -> DataFrame:

@@ -2,59 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from orderloom.streaming.events import validate
 
 INSERTED, DUPLICATE = "inserted", "duplicate"
+#: set in the rows that name an id the stream has never had before; these carry no delivery
+NEW_ID = "new_id"
 
 
-class FirstWrite(StatefulProcessor):
-    """Per event id: the arrival that won, for ever. Of the deliveries of the batch that first brings
-    an id the earliest arrival wins; they pass one at a time, so many copies need no memory."""
-
-    def init(self, handle) -> None:
-        self.winner = handle.getValueState("winner", T.StructType([T.StructField("arrival", T.StringType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known, first = self.winner.exists(), None
-        for row in rows:
-            if not known and (first is None or _place(row) < _place(first)):
-                first, row = row, first
-            if row is not None:
-                yield _with_status(row, DUPLICATE)
-        if first is not None:
-            self.winner.update((str(_place(first)),))
-            yield _with_status(first, INSERTED)
-
-    def close(self) -> None:
-        pass
-
-
-def _place(row: Row) -> tuple:
-    """The arrival in the order of its fields; the state server hands structs over as dicts."""
-    return tuple(row.arrival.values() if isinstance(row.arrival, dict) else row.arrival)
-
-
-def _with_status(row: Row, status: str) -> Row:
-    return Row(payload=row.payload, arrival=row.arrival, status=status)
-
-
-def with_status(stream: DataFrame) -> DataFrame:
-    """payload, arrival, status of every delivery (columns payload, arrival); status is null for invalid ones.
+def with_new_ids(stream: DataFrame) -> DataFrame:
+    """payload, arrival, new_id: every delivery (columns payload, arrival), and one row more for each event id that is new.
 
-    The state is keyed by event id, so a batch looks up its own ids only, whatever the history; an id
-    that is hot costs its task the deliveries of one batch. A replayed batch or a restart reads the
-    state of the batch before it and gives the same statuses.
+    The state holds the event ids, one row each, so a batch looks up its own ids only, whatever the
+    history. It is Spark's own streaming de-duplication, which decides whether the batch is the first
+    to bring an id; which of its deliveries wins is for the sink. A replayed batch or a restart
+    reads the state of the batch before it and names the same ids.
     """
-    checked = validate(stream, "payload")
-    invalid = checked.where(~F.col("is_valid")).select("payload", "arrival", F.lit(None).cast("string").alias("status"))
-    valid = checked.where("is_valid").select("event_id", "payload", "arrival")
-    out = T.StructType([valid.schema["payload"], valid.schema["arrival"], T.StructField("status", T.StringType())])
-    decided = valid.groupBy("event_id").transformWithState(FirstWrite(), out, outputMode="Append", timeMode="None")
-    return decided.unionByName(invalid)
+    payload, arrival = stream.schema["payload"].dataType, stream.schema["arrival"].dataType
+    # a generator, as a filter would be pushed into the parse and evaluate it once for each rule
+    ids = validate(stream, "payload").select(F.explode(F.when(F.col("is_valid"), F.array("event_id"))).alias(NEW_ID))
+    new = ids.dropDuplicates([NEW_ID]).select(F.lit(None).cast(payload).alias("payload"), F.lit(None).cast(arrival).alias("arrival"), NEW_ID)
+    return stream.select("payload", "arrival", F.lit(None).cast("string").alias(NEW_ID)).unionByName(new)

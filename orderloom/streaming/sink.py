@@ -12,8 +12,8 @@ Per micro-batch (the analogue of the reference's 25-event / 2-second flush):
 4. the batch writes its rows, dead letters and per-event statuses into its own
    ``batch_id=<n>`` folders in overwrite mode.
 
-Steps 2 and 3 have another form, ``dedupe="state"``: the streaming state store
-decides (``firstwrite``), and the batch arrives with a status for every delivery.
+Step 3 has another form, ``dedupe="state"``: the streaming state store decides
+(``firstwrite``), and the batch arrives with the ids that no earlier batch brought.
 
 If Spark replays a batch after a failure between the write and the commit,
 step 3 ignores the batch's own folder and step 4 overwrites it, so the stored
@@ -30,7 +30,7 @@ from orderloom.operators.cleaning import dedupe_by_key
 from orderloom.operators.joins import bounded_broadcast
 from orderloom.schemas import ORDER_EVENTS
 from orderloom.streaming.events import EVENT_COLUMNS, validate, with_arrival
-from orderloom.streaming.firstwrite import DUPLICATE, INSERTED, with_status
+from orderloom.streaming.firstwrite import DUPLICATE, INSERTED, NEW_ID, with_new_ids
 from orderloom.streaming.keyset import KeySet
 from orderloom.streaming.live import LiveState
 
@@ -73,7 +73,10 @@ class OrderEventSink:
         batch = batch.withColumn("arrival", F.struct(F.col("arrival").alias("a"),
                                                      F.monotonically_increasing_id().alias("seq")))
         checked = validate(batch, "payload", now=now).withColumn("received_at", now.cast("timestamp"))
-        checked = checked.persist()
+        # what is kept: the fields of an event, or the text of an invalid one
+        checked = checked.withColumn("payload", F.when(~F.col("is_valid"), F.col("payload")))
+        checked = checked.select(*[c for c in (*EVENT_COLUMNS, "received_at", "arrival", "is_valid", "errors", "payload", NEW_ID)
+                                   if c in checked.columns]).persist()
         try:
             self._write_batch(checked, batch_id, now)
         finally:
@@ -81,16 +84,20 @@ class OrderEventSink:
 
     def _write_batch(self, checked: DataFrame, batch_id: int, now) -> None:
         part = f"batch_id={batch_id}"
+        new_ids = None
+        if NEW_ID in checked.columns:
+            new_ids = checked.filter(F.col(NEW_ID).isNotNull()).select(F.col(NEW_ID).alias("event_id"))
+            checked = checked.filter(F.col(NEW_ID).isNull())
         (checked.filter(~F.col("is_valid"))
                 .select(F.date_format("received_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("failed_at"),
                         F.col("errors").alias("error"), F.col("payload"))
                 .write.mode("overwrite").json(f"{self.dead_letter_path}/{part}"))
 
         valid = checked.filter(F.col("is_valid"))
-        if "status" in checked.columns:
-            winners = valid.filter(F.col("status") == INSERTED)
+        winners = dedupe_by_key(valid.select(*EVENT_COLUMNS, "received_at", "arrival"), "event_id", ["arrival"])
+        if new_ids is not None:
+            winners = winners.join(new_ids, "event_id", "left_semi")
         else:
-            winners = dedupe_by_key(valid.select(*EVENT_COLUMNS, "received_at", "arrival"), "event_id", ["arrival"])
             keys = bounded_broadcast(winners.select(F.col("event_id").alias("key")), BATCH_BROADCAST_ROWS)
             earlier = self.ids.seen(keys, batch_id)
             if earlier is not None:
@@ -100,13 +107,11 @@ class OrderEventSink:
         try:
             stored = winners.drop("arrival")
             stored.write.mode("overwrite").parquet(f"{self.events_path}/{part}")
-            if "status" in checked.columns:
-                status = valid.select("event_id", "arrival", "status")
-            else:
+            if new_ids is None:
                 self.ids.add(winners.select(F.col("event_id").alias("key")), batch_id)
-                first = winners.select("event_id", "arrival", F.lit(INSERTED).alias("status"))
-                status = (valid.select("event_id", "arrival").join(first, ["event_id", "arrival"], "left")
-                               .select("event_id", "arrival", F.coalesce("status", F.lit(DUPLICATE)).alias("status")))
+            first = winners.select("event_id", "arrival", F.lit(INSERTED).alias("status"))
+            status = (valid.select("event_id", "arrival").join(first, ["event_id", "arrival"], "left")
+                           .select("event_id", "arrival", F.coalesce("status", F.lit(DUPLICATE)).alias("status")))
             status.write.mode("overwrite").parquet(f"{self.status_path}/{part}")
             if self.live:
                 self.live.update(stored, batch_id, now)
@@ -119,7 +124,7 @@ def run_file_stream(spark: SparkSession, source_dir: str, root: str, checkpoint:
     """Ingest every NDJSON file under ``source_dir`` (available-now trigger).
 
     ``dedupe``: "history" (default; the sink probes the buckets of ids stored by earlier
-    batches) or "state" (``firstwrite.with_status``). Both are exact, with a status for every
+    batches) or "state" (``firstwrite.with_new_ids``). Both are exact, with a status for every
     valid delivery, and neither drops a late event. ``live`` keeps ``LiveState`` up to date.
     """
     sink = OrderEventSink(root, clock=clock, live=live)
@@ -142,7 +147,7 @@ def _started(stream: DataFrame, sink: OrderEventSink, checkpoint: str, dedupe: s
     before = conf.get(name)
     if dedupe == "state":
         conf.set(name, ROCKSDB)
-        stream = with_status(stream)
+        stream = with_new_ids(stream)
     try:  # a query keeps the settings it was started with
         return (stream.writeStream.foreachBatch(sink)
                       .option("checkpointLocation", checkpoint)
