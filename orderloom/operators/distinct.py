@@ -32,9 +32,11 @@ def distinct_bitmaps(sales: DataFrame) -> DataFrame:
     found = None
     for name, column in COUNTED.items():
         lines = sales.select(F.to_date("order_date").alias("order_day"), "region", "category", column).distinct()
-        bits = (lines.join(_keyed(sales, column), column)
-                .groupBy(*GRAIN, F.bitmap_bucket_number("key").alias("bucket"))
-                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("key")).alias("bits"))
+        places = (lines.join(_keyed(sales, column), column)
+                  .select(*GRAIN, F.bitmap_bucket_number("key").alias("bucket"), F.bitmap_bit_position("key").alias("bit")))
+        # the places cross the shuffle, not 4 KB of bitmap for every few of them
+        bits = (places.repartition(*GRAIN, "bucket").groupBy(*GRAIN, "bucket")
+                .agg(F.bitmap_construct_agg("bit").alias("bits"))
                 .select(*GRAIN, F.lit(name).alias("counted"), "bucket", "bits"))
         found = bits if found is None else found.unionByName(bits)
     return found
