@@ -94,10 +94,14 @@ class OrderEventSink:
                 .write.mode("overwrite").json(f"{self.dead_letter_path}/{part}"))
 
         valid = checked.filter(F.col("is_valid"))
-        winners = dedupe_by_key(valid.select(*EVENT_COLUMNS, "received_at", "arrival"), "event_id", ["arrival"])
+        found = valid.select(*EVENT_COLUMNS, "received_at", "arrival")
         if new_ids is not None:
+            # of copies that arrive at one place (the same line twice in a file) the last is the inserted one
+            place = F.struct(F.col("arrival.a"), -F.col("arrival.seq"))
+            winners = dedupe_by_key(found.withColumn("place", place), "event_id", ["place"]).drop("place")
             winners = winners.join(new_ids, "event_id", "left_semi")
         else:
+            winners = dedupe_by_key(found, "event_id", ["arrival"])
             keys = bounded_broadcast(winners.select(F.col("event_id").alias("key")), BATCH_BROADCAST_ROWS)
             earlier = self.ids.seen(keys, batch_id)
             if earlier is not None:

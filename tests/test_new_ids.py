@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from orderloom.streaming.events import validate
 from orderloom.streaming.firstwrite import NEW_ID, with_new_ids
 
-from test_streaming import EVENT_A, EVENT_B
+from orderloom.streaming.sink import OrderEventSink
+
+from test_streaming import EVENT_A, EVENT_B, _clock, _scratch
 
 
 def _deliveries(spark):
@@ -26,3 +28,12 @@ def test_a_payload_is_parsed_once(spark):
     assert plan.count("from_json(") <= 2 and "python" not in plan.lower()     # a filter pushed down held some 180
     fields = validate(_deliveries(spark))._jdf.queryExecution().executedPlan().toString()
     assert fields.count("(?U)") == 6                                             # each text is normalised once
+
+
+def test_of_copies_at_one_place_the_last_is_inserted(spark):
+    rows = [(json.dumps(EVENT_A), 2, None), (json.dumps(EVENT_A), 1, None), (json.dumps(EVENT_A), 1, None), (None, None, EVENT_A["event_id"])]
+    sink = OrderEventSink(_scratch(), clock=_clock)
+    sink(spark.createDataFrame(rows, "payload string, arrival int, new_id string").coalesce(1), 0)
+    status = spark.read.parquet(sink.status_path).orderBy("arrival").collect()
+    assert [(r.arrival.a, r.status) for r in status] == [(1, "duplicate"), (1, "inserted"), (2, "duplicate")]
+    assert spark.read.parquet(sink.events_path).count() == 1
