@@ -51,15 +51,25 @@ def _decimal(text: Column) -> Column:
     return text.try_cast("decimal(38,10)")
 
 
-def _read_fields() -> dict[str, Column]:
-    """Fields of ``e`` that several rules and typed columns share, read once per payload."""
+def _read_fields(payload: str = "payload") -> dict[str, Column]:
+    """Fields of ``e`` and keys of the payload that several rules and typed columns share, read once per payload."""
     e = lambda name: F.col("e")[name]
     return {"_time": _event_time(e("event_time")), "_q": _decimal(e("quantity")), "_p": _decimal(e("unit_price")),
-            "_d": _decimal(e("discount_pct")), **{f"_{name}": normalize_text(e(name)) for name in TEXT_LIMITS}}
+            "_d": _decimal(e("discount_pct")), "_keys": F.coalesce(F.json_object_keys(F.col(payload)), F.array().cast("array<string>")),
+            **{f"_{name}": normalize_text(e(name)) for name in TEXT_LIMITS}}
+
+
+def _read_numbers() -> dict[str, Column]:
+    """What several rules ask of the decimals of ``_read_fields``, rounded once per payload."""
+    q, p = F.col("_q"), F.col("_p")
+    places = F.when(p == F.round(p, 0), 0).when(p == F.round(p, 1), 1).when(p == F.round(p, 2), 2).otherwise(3)
+    whole = F.floor(F.abs(p))
+    return {"_q_whole": q == F.round(q, 0), "_places": places,
+            "_int_digits": F.when(whole == 0, 0).otherwise(F.char_length(whole.cast("string")))}
 
 
 def _rules() -> list[tuple[str, Column]]:
-    """(message, failing predicate) per rule, on the parsed text struct ``e`` and ``_read_fields``."""
+    """(message, failing predicate) per rule, on the parsed text struct ``e``, ``_read_fields`` and ``_read_numbers``."""
     e = lambda name: F.col("e")[name]
     rules: list[tuple[str, Column]] = [
         ("invalid JSON payload", F.col("e").isNull() | e("_corrupt_record").isNotNull()),
@@ -74,17 +84,14 @@ def _rules() -> list[tuple[str, Column]]:
         rules.append((f"{name}: value cannot be blank",
                       text.isNotNull() & F.char_length(text).between(low, high)
                       & (F.char_length(F.col(f"_{name}")) == 0)))
-    q = F.col("_q")
+    q, q_whole = F.col("_q"), F.col("_q_whole")
     rules += [
         ("quantity: field required", e("quantity").isNull()),
-        ("quantity: must be a whole number", e("quantity").isNotNull() & (q.isNull() | (q != F.round(q, 0)))),
+        ("quantity: must be a whole number", e("quantity").isNotNull() & (q.isNull() | ~q_whole)),
         ("quantity: must be > 0 and <= 100",
-         q.isNotNull() & (q == F.round(q, 0)) & ~((q > 0) & (q <= QUANTITY_MAX))),
+         q.isNotNull() & q_whole & ~((q > 0) & (q <= QUANTITY_MAX))),
     ]
-    p = F.col("_p")
-    places = F.when(p == F.round(p, 0), 0).when(p == F.round(p, 1), 1).when(p == F.round(p, 2), 2).otherwise(3)
-    whole = F.floor(F.abs(p))
-    int_digits = F.when(whole == 0, 0).otherwise(F.char_length(whole.cast("string")))
+    p, places, int_digits = F.col("_p"), F.col("_places"), F.col("_int_digits")
     rules += [
         ("unit_price: field required", e("unit_price").isNull()),
         ("unit_price: not a decimal", e("unit_price").isNotNull() & p.isNull()),
@@ -123,12 +130,11 @@ def validate(df: DataFrame, payload: str = "payload", now: Column | None = None)
     payload, so a redelivered copy keeps the same id.
     """
     now = now if now is not None else F.current_timestamp()
-    read = _read_fields()
-    parsed = parse_payload(df, payload).withColumns(read)
+    read, numbers = _read_fields(payload), _read_numbers()
+    parsed = parse_payload(df, payload).withColumns(read).withColumns(numbers)
     rules = _rules()
     # a default stands for an absent field; an explicit null is no value of its type
-    keys = F.coalesce(F.json_object_keys(F.col(payload)), F.array().cast("array<string>"))
-    rules += [(f"{name}: null is not a value", F.array_contains(keys, name) & F.col("e")[name].isNull())
+    rules += [(f"{name}: null is not a value", F.array_contains("_keys", name) & F.col("e")[name].isNull())
               for name in ("event_id", "event_time", "discount_pct")]
     # a payload that is not JSON fails as a whole, like a parse error would
     (bad_json_msg, bad_json), field_rules = rules[0], rules[1:]
@@ -165,7 +171,7 @@ def validate(df: DataFrame, payload: str = "payload", now: Column | None = None)
         "unit_price": F.when(valid_only, F.col("unit_price")),
         "net_revenue": F.when(valid_only, net_revenue("unit_price", "quantity", "discount_exact")),
         "discount_pct": F.when(valid_only, F.col("discount_exact").cast("decimal(5,4)")),
-    }).drop("e", "discount_exact", *read)
+    }).drop("e", "discount_exact", *read, *numbers)
 
 
 def with_arrival(stream: DataFrame) -> DataFrame:

@@ -142,23 +142,29 @@ def run_file_stream(spark: SparkSession, source_dir: str, root: str, checkpoint:
 
 # The state store that keeps its keys on disk; one row per event id ever seen is too many for memory.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Java never compiles a method of more bytes than this. All rules of a payload in one method have some
+# 20,000; stages above the limit run as several methods, which are compiled.
+COMPILED_METHOD_BYTES = 8000
 
 
 def _started(stream: DataFrame, sink: OrderEventSink, checkpoint: str, dedupe: str, trigger: dict):
     if dedupe not in ("history", "state"):
         raise ValueError(f"dedupe must be 'history' or 'state', not {dedupe!r}")
-    conf, name = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
-    before = conf.get(name)
+    conf, settings = stream.sparkSession.conf, {"spark.sql.codegen.hugeMethodLimit": COMPILED_METHOD_BYTES}
     if dedupe == "state":
-        conf.set(name, ROCKSDB)
+        settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
         stream = with_new_ids(stream)
+    before = {name: conf.get(name) for name in settings}
+    for name, value in settings.items():
+        conf.set(name, value)
     try:  # a query keeps the settings it was started with
         return (stream.writeStream.foreachBatch(sink)
                       .option("checkpointLocation", checkpoint)
                       .trigger(**trigger)
                       .start())
     finally:
-        conf.set(name, before)
+        for name, value in before.items():
+            conf.set(name, value)
 
 
 def start_event_stream(stream: DataFrame, root: str, checkpoint: str, trigger_seconds: float = 2.0,
