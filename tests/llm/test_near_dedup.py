@@ -117,3 +117,35 @@ def test_rows_are_dropped_by_row_not_by_id(spark):
     expected = [(1, own("a")), (None, own("b")), (None, own("c")), (2, own("d")), (3, own("e")), (4, own("f")),
                 (None, None), (None, ""), (5, None)]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_members_are_those_of_buckets_that_no_earlier_band_covers(spark):
+    rng = random.Random(3)
+    # one id with several sets, keys that agree in runs of bands, and null keys
+    data = [(i // 2, bytes([i]), [rng.randrange(2 + 3 * (j % 5)) * 10 ** 12 for j in range(N.BANDS)]) for i in range(40)]
+    data += [(100 + i, bytes([100 + i]), data[7][2][:9] + [i] * (N.BANDS - 9)) for i in range(5)] + [(200, b"z" * 16, None)]
+    expected = set()
+    for band in range(N.BANDS):
+        for key in {k[band] for _, _, k in data if k}:
+            inside = [(rep, fp, k) for rep, fp, k in data if k and k[band] == key]
+            if len(inside) > 1 and not any(len({k[j] for _, _, k in inside}) == 1 for j in range(band)):
+                expected |= {(band, key, rep, fp, len(inside), min(r for r, _, _ in inside)) for rep, fp, _ in inside}
+    classes = spark.createDataFrame(data, "rep bigint, fp binary, keys array<bigint>")
+    found = N._members(classes).select("band", "key", "rep", "fp", "size", "center").collect()
+    assert len(found) == len(expected) and {(b, k, r, bytes(f), n, c) for b, k, r, f, n, c in found} == expected
+
+
+def test_texts_of_all_documents_are_not_shuffled_for_the_sets(spark):
+    docs = rows(spark).select("doc_id", "text").withColumnRenamed("doc_id", "id")
+    signed = N.signatures(docs, "text").select("doc.id", "fp")
+    wanted = signed.where("id in (1, 9)").withColumnRenamed("id", "rep")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")                        # as if the planner held the ids for too many
+    try:
+        sets = N._sets(docs, wanted, N.WORDS)
+        plan = sets._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.rep for r in sets.collect()) == [1, 9]
+    finally:
+        spark.conf.set(name, before)
+    assert "BroadcastHashJoin [rep" in plan and "LeftSemi, BuildRight" in plan
