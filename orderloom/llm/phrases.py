@@ -8,13 +8,14 @@ scan after the one in which the later of its two subphrases (without its last, w
 first word) reached the threshold, and is complete once it has seen each shard once, so
 every active phrase ends with its exact number of occurrences.
 
-A task learns which subphrases are active from two Bloom filters of bounded size: all
-that have reached the threshold, and those that did in the last cycle (a phrase of which
-both subphrases are older is complete). A false positive costs a counter that the exact
-join with the table of reached subphrases throws away; no occurrence is lost. Counts are
-grouped by Spark on the phrase itself. What has reached the threshold after a scan is found
-from the phrases alone that some scan saw at least threshold / SHARDS times: any other one
-cannot have it.
+A scan counts phrases by a short number of ``NUMBER_BITS`` bits, a hash of language and words: a task
+sorts and sums the numbers it met and deals them, in blobs of sorted differences, to parts of the range of
+numbers; a part sums the scans of the last cycle and names the numbers that reached the threshold. Phrases
+that share a number add up, so a reached number may be none of a frequent phrase, but no frequent phrase
+lacks one. Tasks learn what is reached from two Bloom filters of bounded size: all numbers that are, and
+those that were in the last cycle (a phrase of which both subphrases are older is complete). Errors of the
+filters cost a counter as well. When nothing counts any more, the phrases of reached numbers are counted
+exactly, by Spark on the phrase itself over all shards, and those below the threshold go.
 
 Defined cases: a null text is empty; a null language is ``und``; a text without words
 counts nothing; very long texts are cut between pieces, and inside a piece with the words
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +49,14 @@ UNKNOWN = "und"
 #: words in one stored row, all languages that a task holds at most, and bits of a filter at most
 ROW_WORDS, HELD_WORDS, MOST_BITS = 800_000, 2_000_000, 1 << 28
 PROBES = 4
-#: rows of the phrases that running sums need, up to which they are shipped to the scans of the counts
-SHIPPED_PHRASES = 600_000
+#: bits of the numbers that phrases are counted by; their last one tells the longest phrases, which are no subphrases
+NUMBER_BITS = 40
+#: numbers, or rows of exact counts, that a task holds before it sums or sends them; words of a shard for each part
+HELD_NUMBERS, HELD_COUNTS, PART_WORDS = 4_000_000, 400_000, 500_000
+#: powers of two of parts, at least and at most
+PARTS = 6, 13
+#: frequent phrases up to which their counts are shipped to the joins of the scores
+SHIPPED_PHRASES = 100_000
 
 #: fixed values: what ends a piece, and what parts words inside one
 _CUT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
@@ -71,7 +79,8 @@ def _rows_of(words: list[bytes]):
 
 
 def encoded(docs: DataFrame, shards: int) -> DataFrame:
-    """shard, lang, words (distinct), codes (int32, 0 between pieces), own: how many codes begin phrases of this row."""
+    """shard, lang, words (distinct), codes (int32, 0 between pieces), own: how many codes begin phrases of this row,
+    n_words: how many of these are words."""
 
     def run(batches):
         held, count, row = {}, 0, TaskContext.get().partitionId()
@@ -84,8 +93,9 @@ def encoded(docs: DataFrame, shards: int) -> DataFrame:
                 codes = np.fromiter(map(names.__getitem__, every), np.int32, len(every))
                 own = [w.decode("utf-8", "replace") for w in names]
                 yield pa.RecordBatch.from_arrays([pa.array([row % shards], pa.int32()), pa.array([lang]), pa.array([own], pa.list_(pa.string())),
-                                                  pa.array([codes.tobytes()], pa.binary()), pa.array([len(part)], pa.int32())],
-                                                 names=["shard", "lang", "words", "codes", "own"])
+                                                  pa.array([codes.tobytes()], pa.binary()), pa.array([len(part)], pa.int32()),
+                                                  pa.array([np.count_nonzero(codes[:len(part)])], pa.int32())],
+                                                 names=["shard", "lang", "words", "codes", "own", "n_words"])
                 row += 1
 
         for batch in batches:
@@ -105,21 +115,54 @@ def encoded(docs: DataFrame, shards: int) -> DataFrame:
         for x, words in held.items():
             yield from emit(x, words)
 
-    return docs.select("lang", "text").mapInArrow(run, "shard int, lang string, words array<string>, codes binary, own int")
+    return docs.select("lang", "text").mapInArrow(run, "shard int, lang string, words array<string>, codes binary, own int, n_words int")
 
 
-# ---- filters of reached phrases
+# ---- numbers of phrases
 
-def phrase_hash(lang: str, words: list[str]) -> int:
-    return int(extended([np.array([xxhash.xxh3_64_intdigest(w)], np.uint64) for w in words], lang)[0])
+def extended(before: np.ndarray, words: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of phrases of ``length`` words, from those of all but the last word (the language's, for one word)."""
+    return mix(before ^ words) + np.uint64(length)
 
 
-def extended(hashes: list[np.ndarray], lang: str) -> np.ndarray:
-    out = np.full(len(hashes[0]), xxhash.xxh3_64_intdigest(lang), np.uint64)
-    for i, h in enumerate(hashes):
-        out = mix(out ^ h) + np.uint64(i + 1)
-    return out
+def short(hashes: np.ndarray, length: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - NUMBER_BITS)) & ~np.uint64(1) | np.uint64(length == LONGEST)
+
+
+def summed(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, ascending, and the sums of their counts."""
+    order = np.argsort(numbers, kind="stable")
+    numbers = numbers[order]
+    first = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]])[:len(numbers)])
+    return numbers[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def packed(numbers: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending numbers as differences, and counts, each byte of them in a run of its own."""
+    steps = np.diff(numbers, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :NUMBER_BITS // 8]
+    return pa.compress(np.concatenate([steps.T.ravel(), counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.ravel()]).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    width = NUMBER_BITS // 8
+    planes = np.frombuffer(pa.decompress(blob, n * (width + 4), codec="zstd", asbytes=True), np.uint8).reshape(width + 4, n)
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :width] = planes[:width].T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64), np.ascontiguousarray(planes[width:].T).view("<u4").ravel().astype(np.int64)
+
 
+BLOBS = "part int, scan int, n bigint, subs bigint, blob binary"
+#: the ``scan`` of a blob that holds reached numbers
+REACHED = -1
+
+
+def blob_row(part: int, scan: int, numbers: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    subs = int(np.count_nonzero(numbers & np.uint64(1) == 0))
+    return pa.RecordBatch.from_pylist([{"part": part, "scan": scan, "n": len(numbers), "subs": subs, "blob": packed(numbers, counts)}],
+                                      pa.schema([("part", pa.int32()), ("scan", pa.int32()), ("n", pa.int64()), ("subs", pa.int64()), ("blob", pa.binary())]))
+
+
+# ---- filters of reached numbers
 
 class Filter:
     """A Bloom filter of a power of two of bits."""
@@ -144,84 +187,148 @@ class Filter:
         return found
 
 
-def filter_of(phrases: DataFrame, n: int) -> Filter:
-    """The filter of ``phrases`` (lang, phrase): 16 bits for each of the ``n``, at most ``MOST_BITS``."""
+def filter_of(blobs: DataFrame, n: int) -> Filter:
+    """The filter of the numbers in ``blobs``: 16 bits for each of the ``n``, at most ``MOST_BITS``."""
     size = min(MOST_BITS, 1 << max(10, (16 * n).bit_length()))
 
     def run(batches):
         own = Filter(size)
         for batch in batches:
-            hashes = [phrase_hash(lang, phrase.split(" ")) for lang, phrase in zip(*(c.to_pylist() for c in batch.columns))]
-            own.add(np.array(hashes, np.uint64))
+            for n, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                own.add(mix(unpacked(blob, n)[0]))
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(own.bits.tobytes(), 1)], pa.binary())], names=["bits"])
 
     out = Filter(size)
     # one bounded bitmap of each task at a time
-    for row in phrases.select("lang", "phrase").coalesce(8).mapInArrow(run, "bits binary").toLocalIterator():
+    for row in blobs.select("n", "blob").coalesce(8).mapInArrow(run, "bits binary").toLocalIterator():
         out.bits |= np.frombuffer(zlib.decompress(row.bits), np.uint8)
     return out
 
 
 # ---- scans
 
-def row_counts(lang: str, words: list[str], codes: np.ndarray, own: int, count_words: bool, reached: Filter | None, late: Filter | None):
-    """(length, word columns, counts) of the active phrases that begin in the first ``own`` words of a row."""
-    there = codes != 0
-    if count_words:
-        counts = np.bincount(codes[:own], minlength=len(words))
-        counts[0] = 0
-        at = np.flatnonzero(counts)
-        yield 1, [at], counts[at]
-    if reached is None:
-        return
+def walk(lang: str, words: list[str], codes: np.ndarray, reached: Filter | None, late: Filter | None):
+    """(length, where, numbers, was, lately): the phrases of each length whose two subphrases are reached, where they begin,
+    whether they are reached themselves, and whether one of the two was reached lately."""
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    single = extended([hashes], lang)
-    # subphrases of each length that begin at a word: reached at all, and lately
-    old, new = reached.has(single)[codes] & there, late.has(single)[codes] & there
-    base = len(words)
+    whole = extended(np.full(len(words), xxhash.xxh3_64_intdigest(lang), np.uint64), hashes, 1)
+    at = np.flatnonzero(codes)
+    numbers = short(whole, 1)
+    has = lambda f, numbers: np.zeros(len(numbers), bool) if f is None else f.has(mix(numbers))
+    was, new = has(reached, numbers), has(late, numbers)
+    numbers, was, new, before = numbers[codes[at]], was[codes[at]], new[codes[at]], whole[codes]
+    yield 1, at, numbers, was, None
     for length in range(2, LONGEST + 1):
-        n = len(codes) - length + 1
-        if n <= 0:
-            return
-        at = np.flatnonzero(old[:n] & old[1:n + 1] & (new[:n] | new[1:n + 1]))
-        active = at[at < own]
-        if len(active):
-            columns = [codes[active + i].astype(np.int64) for i in range(length)]
-            # the distinct phrases of a row, exactly: pairs of numbers, one word at a time
-            number = columns[0]
-            for column in columns[1:]:
-                number = np.unique(number, return_inverse=True)[1] * base + column
-            _, first, counts = np.unique(number, return_index=True, return_counts=True)
-            yield length, [c[first] for c in columns], counts
-        if length == LONGEST:
-            return
-        # those that are subphrases of longer ones
-        both = np.flatnonzero(old[:n] & old[1:n + 1])
-        found = extended([hashes[codes[both + i]] for i in range(length)], lang)
-        was, old = reached.has(found), np.zeros(n, bool)
-        is_new, new = late.has(found), np.zeros(n, bool)
-        old[both], new[both] = was, is_new
-        if not old.any():
+        # a phrase's first and last subphrase begin at neighbouring words
+        old, lately = np.zeros(len(codes) + 1, bool), np.zeros(len(codes) + 1, bool)
+        old[at], lately[at] = was, new & was
+        at = np.flatnonzero(old[:-1] & old[1:])
+        if not len(at):
             return
+        found = extended(before[at], hashes[codes[at + length - 1]], length)
+        before = np.zeros(len(codes), np.uint64)
+        before[at] = found
+        numbers = short(found, length)
+        was = has(reached, numbers)
+        yield length, at, numbers, was, lately[at] | lately[at + 1]
+        new = has(late, numbers)
 
 
-def scan(rows: DataFrame, count_words: bool, reached: Filter | None, late: Filter | None) -> DataFrame:
-    """(lang, k, phrase, n): occurrences of the active phrases in one shard."""
-    shared = rows.sparkSession.sparkContext.broadcast((reached, late))
+def scan(rows: DataFrame, step: int, bits: int, count_words: bool, least: int, filters) -> DataFrame:
+    """``BLOBS``: how often the active phrases' numbers come in one shard, up to ``least``, in 2 ** ``bits`` parts."""
 
     def run(batches):
-        filters = shared.value
+        held, size = [], 0
+
+        def sums():
+            numbers, counts = summed(*(np.concatenate(x) for x in zip(*held)))
+            return numbers, np.minimum(counts, least)
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            numbers, counts = sums()
+            ends = np.searchsorted(numbers >> np.uint64(NUMBER_BITS - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+            for part in np.flatnonzero(np.diff(ends)):
+                some = slice(ends[part], ends[part + 1])
+                yield blob_row(int(part), step, numbers[some], counts[some])
+
+        for batch in batches:
+            for lang, words, codes, own in zip(*(c.to_pylist() for c in batch.columns)):
+                for length, at, numbers, _, lately in walk(lang, words, np.frombuffer(codes, np.int32), *filters.value):
+                    mine = at < own
+                    if length > 1:
+                        mine &= lately
+                    elif not count_words:
+                        continue
+                    held.append((numbers[mine], np.ones(np.count_nonzero(mine), np.int64)))
+                    size += len(held[-1][0])
+                    if size > HELD_NUMBERS:
+                        held = [sums()]
+                        size = len(held[0][0])
+                        if 2 * size > HELD_NUMBERS:
+                            yield from sent()
+                            held, size = [], 0
+        if size:
+            yield from sent()
+
+    return rows.select("lang", "words", "codes", "own").mapInArrow(run, BLOBS)
+
+
+def merged(blobs: DataFrame, step: int, least: int) -> DataFrame:
+    """``BLOBS`` of one part each: what this scan counted, and the numbers that have reached ``least`` with it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        by: dict[bool | int, list] = {}
+        for at, n, blob in zip(*(table.column(c).to_pylist() for c in ("scan", "n", "blob"))):
+            by.setdefault(REACHED if at == REACHED else at == step, []).append(unpacked(blob, n))
+        joined = lambda parts: tuple(np.concatenate(x) for x in zip(*parts))
+        none = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        own = summed(*joined(by.get(True, none)))
+        numbers, counts = summed(*joined([own, *by.get(False, none)]))
+        known = joined(by.get(REACHED, none))[0]
+        new = np.setdiff1d(numbers[counts >= least], known, assume_unique=True)
+        # what is reached needs no count any more
+        still = ~np.isin(own[0], np.concatenate([known, new]))
+        out = [blob_row(part, step, own[0][still], np.minimum(own[1][still], least)), blob_row(part, REACHED, np.sort(new), np.ones(len(new), np.int64))]
+        return pa.Table.from_batches([b for b in out if b.column("n")[0].as_py()], out[0].schema)
+
+    return blobs.groupBy("part").applyInArrow(run, BLOBS)
+
+
+def exact_counts(rows: DataFrame, filters) -> DataFrame:
+    """(lang, k, phrase, n): all occurrences of the phrases of reached numbers."""
+    names = ["lang", "k", "phrase", "n"]
+
+    def run(batches):
+        held, size = [], 0
+
+        def sent():
+            whole = pa.concat_tables(held).group_by(names[:3]).aggregate([("n", "sum")])
+            yield from whole.rename_columns(names).combine_chunks().to_batches(max_chunksize=1 << 16)
+
         for batch in batches:
             for lang, words, codes, own in zip(*(c.to_pylist() for c in batch.columns)):
-                names = pa.array(words, pa.string())
-                for length, columns, counts in row_counts(lang, words, np.frombuffer(codes, np.int32), own, count_words, *filters):
-                    parts = [names.take(pa.array(c)) for c in columns]
+                texts, codes = pa.array(words, pa.string()), np.frombuffer(codes, np.int32)
+                for length, at, _, was, _ in walk(lang, words, codes, filters.value, None):
+                    at = at[was & (at < own)]
+                    if not len(at):
+                        continue
+                    columns = [codes[at + i].astype(np.int64) for i in range(length)]
+                    # the distinct phrases of a row, exactly: pairs of numbers, one word at a time
+                    number = columns[0]
+                    for column in columns[1:]:
+                        number = np.unique(number, return_inverse=True)[1] * len(words) + column
+                    _, first, counts = np.unique(number, return_index=True, return_counts=True)
+                    parts = [texts.take(pa.array(c[first])) for c in columns]
                     phrase = pc.binary_join_element_wise(*parts, " ") if length > 1 else parts[0]
-                    for at in range(0, len(phrase), 1 << 16):
-                        some = phrase[at:at + (1 << 16)]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(some), pa.string()), pa.array(np.full(len(some), length, np.int32)), some,
-                             pa.array(counts[at:at + len(some)].astype(np.int64))], names=["lang", "k", "phrase", "n"])
+                    held.append(pa.table([pa.array([lang] * len(first), pa.string()), pa.array(np.full(len(first), length, np.int32)), phrase,
+                                          pa.array(counts.astype(np.int64))], names=names))
+                    size += len(first)
+                if size > HELD_COUNTS:
+                    yield from sent()
+                    held, size = [], 0
+        if size:
+            yield from sent()
 
     found = rows.select("lang", "words", "codes", "own").mapInArrow(run, "lang string, k int, phrase string, n bigint")
     return found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
@@ -232,27 +339,6 @@ def part(phrase: Column, k: Column, first: Column, n: Column) -> Column:
     return F.array_join(F.slice(F.split(phrase, " "), first + 1, n), " ")
 
 
-def _summed(counts: DataFrame, wanted: DataFrame, reached: DataFrame | None, shards: int) -> DataFrame:
-    """lang, k, phrase, n: what ``wanted`` phrases (lang, phrase, name) have counted in the scans that are theirs."""
-    names = wanted.select("name").distinct()
-    if wanted.count() <= SHIPPED_PHRASES:
-        names = F.broadcast(names)
-    # first by a short name, which few others share; then by the phrase
-    seen = counts.join(names, "name", "left_semi").join(wanted, ["lang", "phrase"], "left_semi")
-    first = F.lit(0)
-    if reached is not None:
-        steps = reached.select("lang", F.col("phrase").alias("sub"), "step")
-        longer = seen.where("k > 1").withColumns({"head": part(F.col("phrase"), F.col("k"), F.lit(0), F.col("k") - 1),
-                                                  "tail": part(F.col("phrase"), F.col("k"), F.lit(1), F.col("k") - 1)})
-        longer = (longer.join(steps.toDF("lang", "head", "from_head"), ["lang", "head"]).join(steps.toDF("lang", "tail", "from_tail"), ["lang", "tail"])
-                  .select("lang", "k", "phrase", "n", "scan", (F.greatest("from_head", "from_tail") + 1).alias("first")))
-        seen = seen.where("k = 1").select("lang", "k", "phrase", "n", "scan", first.alias("first")).unionByName(longer)
-    else:
-        seen = seen.where("k = 1").select("lang", "k", "phrase", "n", "scan", first.alias("first"))
-    theirs = (F.col("scan") >= F.col("first")) & (F.col("scan") < F.col("first") + shards)
-    return seen.where(theirs).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
-
-
 def _all(frames: list[DataFrame]) -> DataFrame:
     whole = frames[0]
     for more in frames[1:]:
@@ -260,10 +346,6 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def short_name() -> Column:
-    return F.xxhash64("lang", "phrase")
-
-
 def frequent_phrases(docs: DataFrame, *, least: int = LEAST, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, n) of all words and phrases with ``n`` >= ``least``, and (lang, n): all words."""
     spark: SparkSession = docs.sparkSession
@@ -271,31 +353,34 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST, shards: int = SHARD
     with arrow_rows(spark, BATCH_ROWS):
         coded.write.partitionBy("shard").option("compression", "zstd").parquet(path)
     rows = spark.read.schema(coded.schema).parquet(path)
-    counts, found, sizes = [], [], []
-    filters: list[Filter | None] = []
+    words = rows.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    total = rows.agg(F.sum("n_words")).first()[0] or 0
+    bits = min(max((total // shards // PART_WORDS).bit_length(), PARTS[0]), PARTS[1])
+    states, sizes, reached_n = [], [], 0
+    reached, filters = None, []
     step = 0
     # on while something counts: words in the first cycle, phrases of what was reached in the last one
     while step < shards or any(sizes[-shards:]):
         own = rows.where(F.col("shard") == step % shards)
-        reached = _joined([f for f in filters if f])
         late = _joined([f for f in filters[-shards:] if f])
-        with arrow_rows(spark, 1):
-            counts.append(stored(scan(own, step < shards, reached, late).withColumns({"scan": F.lit(step), "name": short_name()}), "phrase-counts"))
+        shared = spark.sparkContext.broadcast((reached, late))
         # only the last cycle counts for what is not complete
-        recent = _all(counts[-shards:])
-        often = recent.where(F.col("n") >= -(-least // shards)).select("lang", "phrase", "name").distinct()
-        before = _all(found) if found else None
-        if before is not None:
-            often = often.join(before, ["lang", "phrase"], "left_anti")
-        new = _summed(recent, stored(often, "phrase-often"), before, shards).where(F.col("n") >= least)
-        found.append(stored(new.select("lang", "k", "phrase", F.lit(step).alias("step")), "phrase-reached"))
-        subs = found[-1].where(F.col("k") < LONGEST)
-        sizes.append(subs.count())
-        filters.append(filter_of(subs, sizes[-1]) if sizes[-1] else None)
+        before = [b.where((F.col("scan") == REACHED) | (F.col("scan") > step - shards)) for b in states]
+        with arrow_rows(spark, 1):
+            states.append(stored(merged(_all([scan(own, step, bits, step < shards, least, shared), *before]), step, least), "phrase-scan"))
+        shared.destroy()
+        new = states[-1].where(F.col("scan") == REACHED)
+        n, subs = (x or 0 for x in new.agg(F.sum("n"), F.sum("subs")).first())
+        reached_n += n
+        sizes.append(subs)
+        filters.append(filter_of(new, n) if n else None)
+        reached = _joined([f for f in (reached, filters[-1]) if f])
+        filters = filters[-shards:]
         step += 1
-    every = stored(_all(found), "phrase-all")
-    whole = stored(_summed(_all(counts), every.select("lang", "phrase", short_name().alias("name")), every, shards), "phrase-totals")
-    words = _all(counts[:shards]).where("k = 1").groupBy("lang").agg(F.sum("n").alias("n"))
+    shared = spark.sparkContext.broadcast(filter_of(_all(states).where(F.col("scan") == REACHED), reached_n))
+    with arrow_rows(spark, 1):
+        whole = stored(exact_counts(rows, shared).where(F.col("n") >= least), "phrase-totals")
+    shared.destroy()
     return whole, words
 
 
@@ -329,11 +414,12 @@ def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     with compact(docs.sparkSession):
         whole, words = frequent_phrases(texts, least=least, shards=shards)
     phrases = whole.where("k > 1").select("lang", "k", "phrase", F.col("n").alias("a"))
+    counted = F.broadcast(whole) if whole.count() <= SHIPPED_PHRASES else whole
 
     cuts = phrases.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("k") - 1)))
     k = F.col("k")
     cuts = cuts.withColumns({"head": part(F.col("phrase"), k, F.lit(0), F.col("cut")), "tail": part(F.col("phrase"), k, F.col("cut"), k - F.col("cut"))})
-    of = lambda name, n: whole.select("lang", F.col("phrase").alias(name), F.col("n").alias(n))
+    of = lambda name, n: counted.select("lang", F.col("phrase").alias(name), F.col("n").alias(n))
     cuts = cuts.join(of("head", "l"), ["lang", "head"]).join(of("tail", "r"), ["lang", "tail"])
     score = whole_quotient(exact(F.lit(SCALE)) * exact(F.col("a")), exact(F.col("l")) + exact(F.col("r")))
     best = cuts.withColumn("score", score).groupBy("lang", "phrase", "k", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("least"))

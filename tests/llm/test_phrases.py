@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from orderloom.llm import phrases as P
 
@@ -105,3 +106,48 @@ def test_long_text_and_empty_table(spark, monkeypatch):
     assert got(rows(spark, data), least=25) == brute(data, 25)
     assert got(rows(spark, [])) == []
     assert got(rows(spark, [(1, None, None, None), (2, ". ! \n\t", "en", "a")])) == []
+
+
+def test_numbers_are_packed_and_summed_exactly():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 5000):
+        numbers, counts = P.summed(rng.integers(0, 1 << P.NUMBER_BITS, n).astype(np.uint64), rng.integers(1, 1 << 20, n))
+        back = P.unpacked(P.packed(numbers, counts), len(numbers))
+        assert np.array_equal(back[0], numbers) and np.array_equal(back[1], counts)
+    numbers, counts = P.summed(np.array([7, 3, 7, 3, 9], np.uint64), np.array([1, 2, 3, 4, 5]))
+    assert numbers.tolist() == [3, 7, 9] and counts.tolist() == [6, 4, 5]
+
+
+def test_tasks_that_send_in_between_and_shared_numbers(spark, monkeypatch):
+    monkeypatch.setattr(P, "HELD_NUMBERS", 50)
+    monkeypatch.setattr(P, "HELD_COUNTS", 20)
+    data = made(5, 90)
+    assert got(rows(spark, data), least=4) == brute(data, 4)
+
+
+def test_phrases_that_share_numbers_are_told_apart(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(P, "short", lambda hashes, length: hashes >> np.uint64(62) << np.uint64(1) | np.uint64(length == 4))
+    monkeypatch.setattr(P, "filter_of", lambda blobs, n, real=P.filter_of: asked.append(n) or real(blobs, n))
+    cloudpickle.register_pickle_by_value(P)          # tasks take the module as it is patched here
+    try:
+        data = made(5, 90)
+        assert got(rows(spark, data), least=4) == brute(data, 4)
+    finally:
+        cloudpickle.unregister_pickle_by_value(P)
+    assert asked[-1] <= 8                             # all phrases had eight numbers
+
+
+def test_scans_store_far_less_than_a_phrase_for_each_counter(spark, monkeypatch):
+    stores = {}
+    store = P.stored
+    monkeypatch.setattr(P, "stored", lambda df, name: stores.setdefault(name, []).append(store(df, name)) or stores[name][-1])
+    rng = np.random.default_rng(6)
+    data = [(i, " ".join(f"w{x}" for x in rng.integers(0, 300, 400)), "en", "a") for i in range(150)]
+    whole, _ = P.frequent_phrases(rows(spark, data).select("lang", "text"), least=30)
+    # some 43,000 of 90,000 word pairs come, none 30 times: their counters are stored, the pairs are not
+    assert {r.k for r in whole.collect()} == {1} and whole.count() == 300
+    assert set(stores) == {"phrase-scan", "phrase-totals"}
+    kept = sum(b.agg({"n": "sum"}).first()[0] or 0 for b in stores["phrase-scan"])
+    size = sum(b.selectExpr("sum(length(blob))").first()[0] or 0 for b in stores["phrase-scan"])
+    assert kept > 30_000 and size < 5 * kept
