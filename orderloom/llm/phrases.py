@@ -15,7 +15,8 @@ that share a number add up, so a reached number may be none of a frequent phrase
 lacks one. Tasks learn what is reached from two Bloom filters of bounded size: all numbers that are, and
 those that were in the last cycle (a phrase of which both subphrases are older is complete). Errors of the
 filters cost a counter as well. When nothing counts any more, the phrases of reached numbers are counted
-exactly, by Spark on the phrase itself over all shards, and those below the threshold go.
+exactly, by the phrase itself and over all shards, and those below the threshold go; a task joins the phrases
+it sends to one part in one row.
 
 Defined cases: a null text is empty; a null language is ``und``; a text without words
 counts nothing; very long texts are cut between pieces, and inside a piece with the words
@@ -52,9 +53,9 @@ PROBES = 4
 #: bits of the numbers that phrases are counted by; their last one tells the longest phrases, which are no subphrases
 NUMBER_BITS = 40
 #: numbers, or rows of exact counts, that a task holds before it sums or sends them; words of a shard for each part
-HELD_NUMBERS, HELD_COUNTS, PART_WORDS = 4_000_000, 400_000, 500_000
-#: powers of two of parts, at least and at most
-PARTS = 6, 13
+HELD_NUMBERS, HELD_COUNTS, PART_WORDS = 4_000_000, 1_000_000, 500_000
+#: powers of two of parts, at least and at most, and by how much fewer the exact counts need, which languages and lengths part too
+PARTS, WIDER = (6, 13), 3
 #: frequent phrases up to which their counts are shipped to the joins of the scores
 SHIPPED_PHRASES = 100_000
 
@@ -295,24 +296,35 @@ def merged(blobs: DataFrame, step: int, least: int) -> DataFrame:
     return blobs.groupBy("part").applyInArrow(run, BLOBS)
 
 
-def exact_counts(rows: DataFrame, filters) -> DataFrame:
-    """(lang, k, phrase, n): all occurrences of the phrases of reached numbers."""
-    names = ["lang", "k", "phrase", "n"]
+def exact_counts(rows: DataFrame, bits: int, least: int, filters) -> DataFrame:
+    """(lang, k, phrase, n): the phrases of reached numbers that come ``least`` times, with all their occurrences."""
+    names = ["lang", "k", "part"]
 
     def run(batches):
         held, size = [], 0
 
-        def sent():
-            whole = pa.concat_tables(held).group_by(names[:3]).aggregate([("n", "sum")])
-            yield from whole.rename_columns(names).combine_chunks().to_batches(max_chunksize=1 << 16)
+        def sent() -> Iterator[pa.RecordBatch]:
+            whole = pa.concat_tables(held).group_by([*names, "phrase"]).aggregate([("n", "sum")]).sort_by([(x, "ascending") for x in names]).combine_chunks()
+            codes = np.stack([whole.column("lang").chunk(0).dictionary_encode().indices.to_numpy(), *(whole.column(x).to_numpy() for x in names[1:])])
+            starts = np.flatnonzero(np.concatenate([[True], (codes[:, 1:] != codes[:, :-1]).any(axis=0)]))
+            keys = whole.take(pa.array(starts)).combine_chunks()
+            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(starts, len(whole)), pa.int32()), whole.column("phrase").chunk(0)), "\n")
+            counts = [x.astype("<i8").tobytes() for x in np.split(whole.column("n_sum").to_numpy(), starts[1:])]
+            phrases = [pa.compress(x.as_buffer(), codec="zstd", asbytes=True) for x in texts]
+            sizes = pc.binary_length(texts).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([*(keys.column(x).chunk(0) for x in names), sizes, pa.array(phrases, pa.binary()),
+                                              pa.array([len(x) // 8 for x in counts], pa.int64()),
+                                              pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in counts], pa.binary())],
+                                             names=[*names, "bytes", "phrases", "n", "counts"])
 
         for batch in batches:
             for lang, words, codes, own in zip(*(c.to_pylist() for c in batch.columns)):
                 texts, codes = pa.array(words, pa.string()), np.frombuffer(codes, np.int32)
-                for length, at, _, was, _ in walk(lang, words, codes, filters.value, None):
-                    at = at[was & (at < own)]
-                    if not len(at):
+                for length, at, numbers, was, _ in walk(lang, words, codes, filters.value, None):
+                    mine = was & (at < own)
+                    if not mine.any():
                         continue
+                    at, numbers = at[mine], numbers[mine]
                     columns = [codes[at + i].astype(np.int64) for i in range(length)]
                     # the distinct phrases of a row, exactly: pairs of numbers, one word at a time
                     number = columns[0]
@@ -321,8 +333,9 @@ def exact_counts(rows: DataFrame, filters) -> DataFrame:
                     _, first, counts = np.unique(number, return_index=True, return_counts=True)
                     parts = [texts.take(pa.array(c[first])) for c in columns]
                     phrase = pc.binary_join_element_wise(*parts, " ") if length > 1 else parts[0]
-                    held.append(pa.table([pa.array([lang] * len(first), pa.string()), pa.array(np.full(len(first), length, np.int32)), phrase,
-                                          pa.array(counts.astype(np.int64))], names=names))
+                    held.append(pa.table([pa.array([lang] * len(first), pa.string()), pa.array(np.full(len(first), length, np.int32)),
+                                          pa.array((numbers[first] >> np.uint64(NUMBER_BITS - bits)).astype(np.int32)), phrase,
+                                          pa.array(counts.astype(np.int64))], names=[*names, "phrase", "n"]))
                     size += len(first)
                 if size > HELD_COUNTS:
                     yield from sent()
@@ -330,8 +343,20 @@ def exact_counts(rows: DataFrame, filters) -> DataFrame:
         if size:
             yield from sent()
 
-    found = rows.select("lang", "words", "codes", "own").mapInArrow(run, "lang string, k int, phrase string, n bigint")
-    return found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    def merge(table: pa.Table) -> pa.Table:
+        texts = [pa.decompress(x, n, codec="zstd", asbytes=True).decode() for x, n in zip(table.column("phrases").to_pylist(), table.column("bytes").to_pylist())]
+        # a word holds no end of line
+        phrases = pc.list_flatten(pc.split_pattern(pa.array(texts, pa.large_string()), "\n")).cast(pa.string())
+        counts = [np.frombuffer(pa.decompress(x, 8 * n, codec="zstd", asbytes=True), "<i8") for x, n in zip(table.column("counts").to_pylist(), table.column("n").to_pylist())]
+        sums = pa.table([phrases, pa.array(np.concatenate(counts))], names=["phrase", "n"]).group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+        sums = sums.filter(pc.greater_equal(sums.column("n_sum"), least))
+        lang, k = (table.column(x)[0].as_py() for x in ("lang", "k"))
+        return pa.table([pa.array([lang] * len(sums), pa.string()), pa.array([k] * len(sums), pa.int32()), sums.column("phrase"), sums.column("n_sum")],
+                        names=["lang", "k", "phrase", "n"])
+
+    found = rows.select("lang", "words", "codes", "own").mapInArrow(
+        run, "lang string, k int, part int, bytes bigint, phrases binary, n bigint, counts binary")
+    return found.groupBy("lang", "k", "part").applyInArrow(merge, "lang string, k int, phrase string, n bigint")
 
 
 def part(phrase: Column, k: Column, first: Column, n: Column) -> Column:
@@ -379,7 +404,7 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST, shards: int = SHARD
         step += 1
     shared = spark.sparkContext.broadcast(filter_of(_all(states).where(F.col("scan") == REACHED), reached_n))
     with arrow_rows(spark, 1):
-        whole = stored(exact_counts(rows, shared).where(F.col("n") >= least), "phrase-totals")
+        whole = stored(exact_counts(rows, max(bits - WIDER, PARTS[0]), least, shared), "phrase-totals")
     shared.destroy()
     return whole, words
 
