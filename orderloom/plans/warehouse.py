@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators import cleaning, quality, star
-from orderloom.operators.joins import join_dimension
+from orderloom.operators.joins import joins_counted_on
 from orderloom.session import scratch_path
 
 
@@ -105,8 +105,8 @@ class Warehouse:
             futures = [pool.submit(lambda n=n, b=b: _write(b(), f"{root}/{n}")) for n, b in builders.items()]
             for f in futures:
                 f.result()
-        fact = star.fact_sales(quality.accepted(stg), stored.dim_customer, stored.dim_product,
-                               join=join_dimension)
+        accepted = quality.accepted(stg)
+        fact = star.fact_sales(accepted, stored.dim_customer, stored.dim_product, join=joins_counted_on(accepted))
         _write(fact, f"{root}/fact_sales")
         return stored
 
@@ -147,11 +147,11 @@ class StagedWarehouse(Warehouse):
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return star.fact_sales(self.accepted_orders, self.dim_customer, self.dim_product, join=join_dimension)
+        return star.fact_sales(self.accepted_orders, self.dim_customer, self.dim_product, join=joins_counted_on(self.accepted_orders))
 
     @cached_property
     def sales_enriched(self) -> DataFrame:
-        return star.sales_enriched(self.accepted_orders, self.customers, self.products, join=join_dimension)
+        return star.sales_enriched(self.accepted_orders, self.customers, self.products, join=joins_counted_on(self.accepted_orders))
 
     @cached_property
     def stored_sales(self) -> DataFrame:
@@ -200,7 +200,7 @@ class StoredWarehouse:
     @cached_property
     def sales_enriched(self) -> DataFrame:
         # dims are stored tables: each is broadcast only if proven small, else joined with salted hot keys
-        return self.enriched(join_dimension)
+        return self.enriched(joins_counted_on(self.fact_sales))
 
     def enriched(self, join) -> DataFrame:
         """The view with ``join(big, dim, key)`` for both dimensions."""

@@ -125,6 +125,28 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert joined.count() == n
 
 
+def test_hot_keys_are_counted_by_hash_first_and_on_the_given_lines(spark, monkeypatch):
+    from orderloom.operators import joins
+
+    lines = spark.range(30000).select(F.concat(F.lit("C"), (F.col("id") % 5000).cast("string")).alias("customer_id"), "id")
+    # no key is hot: none is counted itself, so no row of it is shuffled
+    calm = joins.salt_counts(lines, "customer_id", 5000)
+    assert calm.collect() == [] and "Exchange" not in calm._jdf.queryExecution().executedPlan().toString()
+    # hashes shared by hot and other keys, and by keys that are only hot together; null is a key
+    monkeypatch.setattr(joins, "KEY_HASHES", 2)
+    mixed = lines.select(F.when(F.col("id") % 3 == 0, "C-HOT").when(F.col("id") % 3 == 1, F.col("customer_id")).alias("customer_id"), "id")
+    found = {tuple(r) for r in joins.salt_counts(mixed, "customer_id", 4000).collect()}
+    assert found == {("C-HOT", 3), (None, 3)}
+    # the table that is joined is not built for the counts
+    never = mixed.where(F.raise_error(F.lit("built")).isNull())
+    dim = lines.select("customer_id").distinct()
+    joins.salted_join(never, dim, "customer_id", 4000, counted=mixed)
+    monkeypatch.setattr(joins, "DEFAULT_BROADCAST_ROWS", 10)
+    joins.joins_counted_on(mixed)(never, dim, "customer_id")
+    joined = joins.salted_join(mixed.where("id % 2 = 0"), dim.union(spark.createDataFrame([("C-HOT",)], "customer_id string")), "customer_id", 4000, counted=mixed)
+    assert joined.count() == mixed.where("id % 2 = 0 AND customer_id IS NOT NULL").count()
+
+
 def test_aqe_splits_a_hot_key_in_a_shuffle_join(spark):
     """The session settings leave AQE's skew-join split on: a key with a third
     of the rows is split across tasks (thresholds lowered to local sizes)."""
