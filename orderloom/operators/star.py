@@ -20,18 +20,43 @@ def first_by_line(attr: str) -> Column:
     return F.min_by(F.col(attr), F.when(F.col(attr).isNotNull(), order)).alias(attr)
 
 
+def of_products(stg: DataFrame) -> DataFrame:
+    return stg.filter(F.col("product_id").isNotNull() & (F.col("product_id") != F.lit("")))
+
+
+def of_customers(stg: DataFrame) -> DataFrame:
+    return stg.filter(F.col("customer_id").isNotNull())
+
+
+PRODUCT_NAMES, CUSTOMER_NAMES = ("product_name", "category"), ("customer_segment", "region")
+
+
 def product_attributes(stg: DataFrame) -> DataFrame:
     """One row per non-blank product id: product_id, product_name, category."""
-    return (stg.filter(F.col("product_id").isNotNull() & (F.col("product_id") != F.lit("")))
-               .groupBy("product_id")
-               .agg(first_by_line("product_name"), first_by_line("category")))
+    return of_products(stg).groupBy("product_id").agg(*map(first_by_line, PRODUCT_NAMES))
 
 
 def customer_attributes(stg: DataFrame) -> DataFrame:
     """One row per non-NULL customer id: customer_id, customer_segment, region."""
-    return (stg.filter(F.col("customer_id").isNotNull())
-               .groupBy("customer_id")
-               .agg(first_by_line("customer_segment"), first_by_line("region")))
+    return of_customers(stg).groupBy("customer_id").agg(*map(first_by_line, CUSTOMER_NAMES))
+
+
+def agreed_attributes(keyed: DataFrame, key: str, names: tuple[str, ...]) -> DataFrame:
+    """The attributes ``names`` of each key, and ``_agrees``: whether all its lines carry the same values (or all none),
+    so that each line's own values are the attributes."""
+    agrees = F.lit(True)
+    for c in names:
+        whole = (F.count(c) == F.count(F.lit(1))) & (F.min(c) == F.max(c))
+        agrees = agrees & ((F.count(c) == 0) | F.coalesce(whole, F.lit(False)))
+    return keyed.groupBy(key).agg(*map(first_by_line, names), agrees.alias("_agrees"))
+
+
+def with_attributes(keyed: DataFrame, agreed: DataFrame, key: str, names: tuple[str, ...]) -> DataFrame:
+    """Lines, all of whose keys are in ``agreed``, with the attributes of their key, from the few keys that do not agree alone."""
+    other = agreed.where(~F.col("_agrees")).select(key, F.struct(*names).alias("_attributes"))
+    joined = keyed.join(F.broadcast(other), key, "left")
+    own = {c: F.when(F.col("_attributes").isNotNull(), F.col("_attributes")[c]).otherwise(F.col(c)) for c in names}
+    return joined.withColumns(own).drop("_attributes")
 
 
 def dim_product(stg: DataFrame) -> DataFrame:

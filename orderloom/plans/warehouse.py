@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators import cleaning, quality, star
-from orderloom.operators.joins import joins_counted_on
+from orderloom.operators.joins import DEFAULT_BROADCAST_ROWS, fits, join_dimension, joins_counted_on
+from orderloom.schemas import ENRICHED_COLUMNS
 from orderloom.session import scratch_path
 
 
@@ -117,7 +118,9 @@ class StagedWarehouse(Warehouse):
     The view reads the staged lines three times (lines, customers, products), a slice reads the
     view twice; each time the raw feed would be joined, cleaned and shuffled again. Here the staged
     lines and the attribute tables are written once, when first used, and joined as in
-    ``StoredWarehouse``: by a broadcast only if proven small, else with salted hot keys.
+    ``StoredWarehouse``: by a broadcast only if proven small, else with salted hot keys. A line of a
+    key whose lines all carry the same attributes keeps its own: of a large attribute table only the
+    other keys are joined, if they are proven few.
     """
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
@@ -129,13 +132,21 @@ class StagedWarehouse(Warehouse):
     def stg_orders(self) -> DataFrame:
         return self._stored("stg_orders", cleaning.stage_orders(self.raw, self.order_by))
 
+    @cached_property
+    def _customers(self) -> DataFrame:
+        return self._stored("customers", star.agreed_attributes(star.of_customers(self.stg_orders), "customer_id", star.CUSTOMER_NAMES))
+
+    @cached_property
+    def _products(self) -> DataFrame:
+        return self._stored("products", star.agreed_attributes(star.of_products(self.stg_orders), "product_id", star.PRODUCT_NAMES))
+
     @cached_property
     def customers(self) -> DataFrame:
-        return self._stored("customers", star.customer_attributes(self.stg_orders))
+        return self._customers.drop("_agrees")
 
     @cached_property
     def products(self) -> DataFrame:
-        return self._stored("products", star.product_attributes(self.stg_orders))
+        return self._products.drop("_agrees")
 
     @cached_property
     def dim_product(self) -> DataFrame:
@@ -151,7 +162,15 @@ class StagedWarehouse(Warehouse):
 
     @cached_property
     def sales_enriched(self) -> DataFrame:
-        return star.sales_enriched(self.accepted_orders, self.customers, self.products, join=joins_counted_on(self.accepted_orders))
+        lines = self.accepted_orders
+        for keyed, agreed, key, names in ((star.of_customers, self._customers, "customer_id", star.CUSTOMER_NAMES),
+                                          (star.of_products, self._products, "product_id", star.PRODUCT_NAMES)):
+            plain = agreed.drop("_agrees")
+            if not fits(plain, DEFAULT_BROADCAST_ROWS) and fits(agreed.where(~F.col("_agrees")), DEFAULT_BROADCAST_ROWS):
+                lines = star.with_attributes(keyed(lines), agreed, key, names)
+            else:
+                lines = join_dimension(lines.drop(*names), plain, key, counted=self.accepted_orders)
+        return star.line_amounts(lines).select(*ENRICHED_COLUMNS)
 
     @cached_property
     def stored_sales(self) -> DataFrame:

@@ -37,6 +37,26 @@ def test_stored_tables_hold_the_rows_of_the_lazy_ones(spark):
     assert once.stored_sales.count() == lazy.sales_enriched.count() > 0
 
 
+def test_large_attribute_tables_join_only_the_keys_that_do_not_agree(spark, monkeypatch):
+    from orderloom.plans import warehouse
+
+    data = [_line(n, customer_id=f"C{n % 40}", product_id=f"P{n % 30}", product_name=f"p{n % 30}") for n in range(240)]
+    data += [_line(900, customer_id="C7", region="south"), _line(901, customer_id="C9", region="west", customer_segment="corporate"),
+             _line(902, product_id="P3", product_name=None), _line(903, product_id="P4", product_name="aaa"), _line(904, product_id="P99", product_name=None),
+             _line(905, customer_id=None), _line(906, product_id=" "), _line(907, line_id=None, customer_id="C5", region="east"), _line(908, category=None)]
+    raw = spark.createDataFrame(data, RAW_ORDERS)
+    wanted = sorted(map(repr, Warehouse(raw).sales_enriched.collect()))
+    plans = []
+    for bound in (5, 0):                # a few keys that do not agree are shipped; more than fit: all are joined as before
+        monkeypatch.setattr(warehouse, "DEFAULT_BROADCAST_ROWS", bound)
+        monkeypatch.setattr("orderloom.operators.joins.DEFAULT_BROADCAST_ROWS", bound)
+        found = StagedWarehouse(raw).sales_enriched
+        assert found.columns == Warehouse(raw).sales_enriched.columns
+        assert sorted(map(repr, found.collect())) == wanted
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+    assert plans[0].count("LeftOuter") == 2 and "Inner" not in plans[0] and plans[1].count("Join Inner") == 2
+
+
 def test_packed_labels_keep_text_and_order(spark):
     rows = [_line(0, customer_segment=a, region=b, sales_channel=c)
             for a, b, c in itertools.product((*SEGMENTS, "?"), (*REGIONS, None), (*CHANNELS, ""))]
