@@ -132,21 +132,13 @@ class StagedWarehouse(Warehouse):
     def stg_orders(self) -> DataFrame:
         return self._stored("stg_orders", cleaning.stage_orders(self.raw, self.order_by))
 
-    @cached_property
-    def _customers(self) -> DataFrame:
-        return self._stored("customers", star.agreed_attributes(star.of_customers(self.stg_orders), "customer_id", star.CUSTOMER_NAMES))
-
-    @cached_property
-    def _products(self) -> DataFrame:
-        return self._stored("products", star.agreed_attributes(star.of_products(self.stg_orders), "product_id", star.PRODUCT_NAMES))
-
     @cached_property
     def customers(self) -> DataFrame:
-        return self._customers.drop("_agrees")
+        return self._stored("customers", star.customer_attributes(self.stg_orders))
 
     @cached_property
     def products(self) -> DataFrame:
-        return self._products.drop("_agrees")
+        return self._stored("products", star.product_attributes(self.stg_orders))
 
     @cached_property
     def dim_product(self) -> DataFrame:
@@ -163,13 +155,16 @@ class StagedWarehouse(Warehouse):
     @cached_property
     def sales_enriched(self) -> DataFrame:
         lines = self.accepted_orders
-        for keyed, agreed, key, names in ((star.of_customers, self._customers, "customer_id", star.CUSTOMER_NAMES),
-                                          (star.of_products, self._products, "product_id", star.PRODUCT_NAMES)):
-            plain = agreed.drop("_agrees")
-            if not fits(plain, DEFAULT_BROADCAST_ROWS) and fits(agreed.where(~F.col("_agrees")), DEFAULT_BROADCAST_ROWS):
-                lines = star.with_attributes(keyed(lines), agreed, key, names)
+        for keyed, attributes, key, names in ((star.of_customers, self.customers, "customer_id", star.CUSTOMER_NAMES),
+                                              (star.of_products, self.products, "product_id", star.PRODUCT_NAMES)):
+            mixed = None
+            if not fits(attributes, DEFAULT_BROADCAST_ROWS):
+                keys = star.mixed_keys(keyed(self.stg_orders), key, names)
+                mixed = self._stored("mixed", attributes.join(keys, key))
+            if mixed is not None and fits(mixed, DEFAULT_BROADCAST_ROWS):
+                lines = star.with_attributes(keyed(lines), mixed, key, names)
             else:
-                lines = join_dimension(lines.drop(*names), plain, key, counted=self.accepted_orders)
+                lines = join_dimension(lines.drop(*names), attributes, key, counted=self.accepted_orders)
         return star.line_amounts(lines).select(*ENRICHED_COLUMNS)
 
     @cached_property
