@@ -65,12 +65,16 @@ _FLOAT_SUFFIX = r"[0-9.][dDfF]\s*$"
 # ... and that engine reads '1_000' as 1000
 _DIGIT_GROUPS = r"(?<=[0-9])_(?=[0-9])"
 _HEX = r"^\s*0[xX][0-9a-fA-F]{1,8}\s*$"
+# Texts that none of these rules touches: one test tells them, the other tests are for the rest.
+_PLAIN_NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
+_PLAIN_INTEGER = r"^-?[0-9]{1,9}$"
 
 
 def try_double(c: str | Column) -> Column:
     s = col_(c)
     plain = F.regexp_replace(s, _DIGIT_GROUPS, "")
-    return F.when(~s.rlike(_CONTROL_EDGE) & ~s.rlike(_FLOAT_SUFFIX), plain.try_cast("double"))
+    other = F.when(~s.rlike(_CONTROL_EDGE) & ~s.rlike(_FLOAT_SUFFIX), plain.try_cast("double"))
+    return F.when(s.rlike(_PLAIN_NUMBER), s.try_cast("double")).otherwise(other)
 
 
 def try_integer(c: str | Column) -> Column:
@@ -81,7 +85,8 @@ def try_integer(c: str | Column) -> Column:
     """
     s = col_(c)
     hexadecimal = F.conv(F.substring(F.trim(s), 3, 8), 16, 10).try_cast("int")
-    return F.when(s.rlike(_HEX), hexadecimal).otherwise(F.round(try_double(c)).try_cast("int"))
+    other = F.when(s.rlike(_HEX), hexadecimal).otherwise(F.round(try_double(c)).try_cast("int"))
+    return F.when(s.rlike(_PLAIN_INTEGER), s.try_cast("int")).otherwise(other)
 
 
 # A timestamp text is a full date (a bare year such as '2024' is none), alone or with at
@@ -89,6 +94,8 @@ def try_integer(c: str | Column) -> Column:
 _TIMESTAMP = r"^\s*(\d{4})([-/])(\d{1,2})\2(\d{1,2})(?:$|[ T]\d{1,2}:\d{1,2}.*$)"
 _DATE = r"^(\s*\d{4})/(\d{1,2})/(\d{1,2})"
 _MIDNIGHT = r"[ T]24:00(:00(\.0+)?)?\s*$"
+# the usual form, which needs no rewriting
+_PLAIN_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}(?: (?:[01]\d|2[0-3]):\d{2}:\d{2})?$"
 
 
 def try_timestamp(c: str | Column) -> Column:
@@ -96,7 +103,7 @@ def try_timestamp(c: str | Column) -> Column:
     dashed = F.regexp_replace(s, _DATE, "$1-$2-$3")
     next_day = F.date_add(F.regexp_replace(dashed, _MIDNIGHT, "").try_cast("date"), 1).try_cast("timestamp_ntz")
     read = F.when(dashed.rlike(_MIDNIGHT), next_day).otherwise(dashed.try_cast("timestamp_ntz"))
-    return F.when(s.rlike(_TIMESTAMP), read)
+    return F.when(s.rlike(_PLAIN_TIMESTAMP), s.try_cast("timestamp_ntz")).when(s.rlike(_TIMESTAMP), read)
 
 
 def money_round(c: str | Column) -> Column:

@@ -75,7 +75,10 @@ _DIGIT = max(map(len, _LABELS.values()))
 def _pack_labels(typed: DataFrame) -> DataFrame:
     code = F.lit(0)
     for name, labels in _LABELS.items():
-        code = code * _DIGIT + F.array_position(F.array(*map(F.lit, labels)), F.col(name)).cast("int") - 1
+        digit = F.when(F.col(name) == F.lit(labels[0]), F.lit(0))
+        for n, label in enumerate(labels[1:], 1):
+            digit = digit.when(F.col(name) == F.lit(label), F.lit(n))
+        code = code * _DIGIT + digit
     first, *others = _LABELS
     return typed.withColumn(first, code).withColumnRenamed(first, "_labels").drop(*others)
 

@@ -31,23 +31,26 @@ def of_customers(stg: DataFrame) -> DataFrame:
 PRODUCT_NAMES, CUSTOMER_NAMES = ("product_name", "category"), ("customer_segment", "region")
 
 
+def attributes(keyed: DataFrame, key: str, names: tuple[str, ...]) -> DataFrame:
+    return keyed.groupBy(key).agg(*map(first_by_line, names))
+
+
 def product_attributes(stg: DataFrame) -> DataFrame:
     """One row per non-blank product id: product_id, product_name, category."""
-    return of_products(stg).groupBy("product_id").agg(*map(first_by_line, PRODUCT_NAMES))
+    return attributes(of_products(stg), "product_id", PRODUCT_NAMES)
 
 
 def customer_attributes(stg: DataFrame) -> DataFrame:
     """One row per non-NULL customer id: customer_id, customer_segment, region."""
-    return of_customers(stg).groupBy("customer_id").agg(*map(first_by_line, CUSTOMER_NAMES))
+    return attributes(of_customers(stg), "customer_id", CUSTOMER_NAMES)
 
 
 def mixed_keys(keyed: DataFrame, key: str, names: tuple[str, ...]) -> DataFrame:
-    """The keys whose lines do not all carry the same values of ``names`` (or all none). A line of any other key has its attributes."""
-    same = F.lit(True)
-    for c in names:
-        whole = (F.count(c) == F.count(F.lit(1))) & (F.min(c) == F.max(c))
-        same = same & ((F.count(c) == 0) | F.coalesce(whole, F.lit(False)))
-    return keyed.groupBy(key).agg((~same).alias("_mixed")).where("_mixed")
+    """The keys whose lines do not all carry the same values of ``names`` (or all none). A line of any other key has its attributes.
+
+    Distinct rows are hashed, where a minimum of texts would sort all lines by key.
+    """
+    return keyed.select(key, *names).distinct().groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
 
 
 def with_attributes(keyed: DataFrame, mixed: DataFrame, key: str, names: tuple[str, ...]) -> DataFrame:

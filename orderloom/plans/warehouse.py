@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from orderloom.operators import cleaning, quality, star
 from orderloom.operators.joins import DEFAULT_BROADCAST_ROWS, fits, join_dimension, joins_counted_on
 from orderloom.schemas import ENRICHED_COLUMNS
-from orderloom.session import scratch_path
+from orderloom.session import scratch_path, shuffles_freed
 
 
 class Warehouse:
@@ -117,15 +117,16 @@ class StagedWarehouse(Warehouse):
 
     The view reads the staged lines three times (lines, customers, products), a slice reads the
     view twice; each time the raw feed would be joined, cleaned and shuffled again. Here the staged
-    lines and the attribute tables are written once, when first used, and joined as in
-    ``StoredWarehouse``: by a broadcast only if proven small, else with salted hot keys. A line of a
-    key whose lines all carry the same attributes keeps its own: of a large attribute table only the
-    other keys are joined, if they are proven few.
+    lines are written once, when first used. In the view a line of a key whose lines all carry the same
+    attributes keeps its own; only the other keys' attributes are collected from their lines and joined by
+    a broadcast, if they are proven few. Else the attribute tables are written once and joined as in
+    ``StoredWarehouse``: by a broadcast only if proven small, else with salted hot keys.
     """
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, name)
-        _write(df, path)
+        with shuffles_freed(self.spark):
+            _write(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
@@ -152,25 +153,32 @@ class StagedWarehouse(Warehouse):
     def fact_sales(self) -> DataFrame:
         return star.fact_sales(self.accepted_orders, self.dim_customer, self.dim_product, join=joins_counted_on(self.accepted_orders))
 
+    @cached_property
+    def _view(self) -> tuple[DataFrame, bool]:
+        """The view, and whether it has a shuffle."""
+        lines, shuffled = self.accepted_orders, False
+        for keyed, whole, key, names in ((star.of_customers, lambda: self.customers, "customer_id", star.CUSTOMER_NAMES),
+                                         (star.of_products, lambda: self.products, "product_id", star.PRODUCT_NAMES)):
+            keys = self._stored("mixed_keys", star.mixed_keys(keyed(self.stg_orders), key, names))
+            if fits(keys, DEFAULT_BROADCAST_ROWS):
+                own = keyed(self.stg_orders).join(F.broadcast(keys), key, "left_semi")
+                mixed = self._stored("mixed", star.attributes(own, key, names))
+                if fits(mixed, DEFAULT_BROADCAST_ROWS):
+                    lines = star.with_attributes(keyed(lines), mixed, key, names)
+                    continue
+            shuffled = True
+            lines = join_dimension(lines.drop(*names), whole(), key, counted=self.accepted_orders)
+        return star.line_amounts(lines).select(*ENRICHED_COLUMNS), shuffled
+
     @cached_property
     def sales_enriched(self) -> DataFrame:
-        lines = self.accepted_orders
-        for keyed, attributes, key, names in ((star.of_customers, self.customers, "customer_id", star.CUSTOMER_NAMES),
-                                              (star.of_products, self.products, "product_id", star.PRODUCT_NAMES)):
-            mixed = None
-            if not fits(attributes, DEFAULT_BROADCAST_ROWS):
-                keys = star.mixed_keys(keyed(self.stg_orders), key, names)
-                mixed = self._stored("mixed", attributes.join(keys, key))
-            if mixed is not None and fits(mixed, DEFAULT_BROADCAST_ROWS):
-                lines = star.with_attributes(keyed(lines), mixed, key, names)
-            else:
-                lines = join_dimension(lines.drop(*names), attributes, key, counted=self.accepted_orders)
-        return star.line_amounts(lines).select(*ENRICHED_COLUMNS)
+        return self._view[0]
 
     @cached_property
     def stored_sales(self) -> DataFrame:
-        """The view written once, for jobs that read it more than once."""
-        return self._stored("sales_enriched", self.sales_enriched)
+        """For jobs that read the view more than once: written once if it has a shuffle, else read from the staged lines."""
+        view, shuffled = self._view
+        return self._stored("sales_enriched", view) if shuffled else view
 
 
 def _write(df: DataFrame, path: str) -> None:
