@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orderloom.functions import RETURNED_STATUS, exact_sum, money_round, percent, realized, realized_revenue, return_rate
 from orderloom.plans import views
 from orderloom.plans.reports import small_report
-from orderloom.session import scratch_path
+from orderloom.session import scratch_path, shuffles_freed
 
 
 def category_revenue(sales: DataFrame) -> DataFrame:
@@ -96,7 +96,8 @@ def kpi_base(sales: DataFrame) -> DataFrame:
         F.count_if(F.col("order_status") == F.lit(RETURNED_STATUS)).alias("returned_lines"),
         F.count(F.lit(1)).alias("lines"))
     path = scratch_path(sales.sparkSession, "kpi_base")
-    base.write.parquet(path)
+    with shuffles_freed(sales.sparkSession):
+        base.write.option("compression", "zstd").parquet(path)
     return sales.sparkSession.read.schema(base.schema).parquet(path)
 
 

@@ -24,7 +24,7 @@ from orderloom.plans.registry_more import more_queries
 from orderloom.plans.snapshot_queries import cart_items_csv
 from orderloom.plans.warehouse import StagedWarehouse, Warehouse
 from orderloom.schemas import RAW_ORDERS
-from orderloom.session import configure, scratch_path
+from orderloom.session import configure, scratch_path, shuffles_freed
 from orderloom.sinks import files as sinks
 from orderloom.sources import files as sources
 from orderloom.sources import testmap
@@ -51,6 +51,14 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testmap.raw_orders(spark, sf_dir)
 
 
+def _stored_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw feed joined and written once, for queries that write it more than once."""
+    raw, path = _raw(spark, sf_dir).select(*RAW_ORDERS.fieldNames()), scratch_path(spark, "raw_orders")
+    with shuffles_freed(spark):
+        raw.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(raw.schema).parquet(path)
+
+
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir).sales_enriched
 
@@ -129,10 +137,10 @@ def scan_orders_csv(spark, sf_dir):
 
 def scan_orders_csv_dialects(spark, sf_dir):
     """The raw feed landed with four delimiters, each read back by its detected dialect; rows by delimiter."""
-    found = None
+    raw, found = _stored_raw(spark, sf_dir), None
     for name, delimiter in (("comma", ","), ("semicolon", ";"), ("tab", "\t"), ("pipe", "|")):
         path = scratch_path(spark, f"raw_orders_{name}")
-        sources.write_orders_csv(_raw(spark, sf_dir), path, delimiter)
+        sources.write_orders_csv(raw, path, delimiter, gzip=True)
         own = sources.read_orders_csv(spark, path).withColumn("delimiter", F.lit(name))
         found = own if found is None else found.unionByName(own)
     return found
@@ -189,7 +197,8 @@ def _bitmaps(spark, sf_dir) -> DataFrame:
     """The bitmaps of the sales, written and read back: the counts below read no line."""
     path = scratch_path(spark, "distinct_bitmaps")
     bitmaps = distinct_bitmaps(staged(spark, sf_dir).stored_sales)
-    bitmaps.write.parquet(path)
+    with shuffles_freed(spark):
+        bitmaps.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(bitmaps.schema).parquet(path)
 
 
