@@ -6,8 +6,10 @@ from orderloom.plans import warehouse
 from orderloom.plans.warehouse import StagedWarehouse, Warehouse
 from orderloom.schemas import RAW_ORDERS
 from orderloom.session import configure, shuffles_freed
+from orderloom.sources import infer
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from test_staged import _line
 
 FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -78,3 +80,28 @@ def test_dense_keys_read_ranges_written_as_a_table(spark):
     assert sorted((r.x, r.n) for r in keyed.collect()) == [(i, i + 1) for i in range(100)]
     none = with_dense_key(spark.range(0).withColumnRenamed("id", "x"), "x", "n")
     assert {*none.columns} == {"n", "x"} and none.count() == 0
+
+
+def test_the_feed_of_all_dialects_is_joined_once_and_landed_compressed(spark, monkeypatch):
+    from orderloom.plans import registry
+
+    joined, own = [], registry.testmap.raw_orders
+    monkeypatch.setattr(registry.testmap, "raw_orders", lambda *a: joined.append(a) or own(*a))
+    files = registry.scan_orders_csv_dialects(spark, SF_SMALL).inputFiles()
+    assert len(joined) == 1 and files and all(f.endswith(".csv.gz") for f in files)
+
+
+def test_cart_items_are_landed_compressed_and_their_types_found_once_per_value(spark, tmp_path):
+    from orderloom.plans.snapshot_queries import cart_items_csv
+
+    landed = spark.read.text(cart_items_csv(spark, SF_SMALL)).inputFiles()
+    assert landed and all(f.endswith(".csv.gz") for f in landed)
+    texts = ["1", "-7", "007", "0", "-0", "9" * 18, "9" * 19, "9" * 38, "9" * 39, "1.5", "-0.25", ".5", "1.", "01.5", "1e3", "-1.5E-7", "9" * 400 + ".1", "true", "FALSE",
+             "trues", "tab", "F", "-", ".", "", " ", " 12 ", "12\n", "1.5\n", "true\n", "2024-02-29", "2023-02-29", "2024-1-2", "2024-01-02 03:04", "2024-01-02T03:04:05.5Z",
+             "2024-01-02 03:04:05+01", "2024-01-02 25:00", "2024-01-02\n", "20240-1-1", "9999-99", "N/A", "٣"]
+    values = spark.createDataFrame([(x,) for x in texts], "s string")
+    kinds = [infer._reads_as(F.col("s"), k).alias(f"k{i}") for i, k in enumerate(infer.LATTICE)]
+    for r in values.select("s", infer._kinds(F.col("s")).alias("bits"), *kinds).collect():
+        assert r.bits == sum(1 << i for i in range(len(kinds)) if r[f"k{i}"]), r
+    rows = spark.createDataFrame([("1", "a", "2024-01-02", "1", None), ("2.5", "1", "2024-01-02 03:04", None, None)], "a string, b string, c string, d string, e string")
+    assert infer.infer_types(rows) == {"a": "double", "b": "string", "c": "timestamp_ntz", "d": "bigint", "e": "string"}
