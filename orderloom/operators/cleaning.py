@@ -83,6 +83,15 @@ def _pack_labels(typed: DataFrame) -> DataFrame:
     return typed.withColumn(first, code).withColumnRenamed(first, "_labels").drop(*others)
 
 
+def pack_labels(staged: DataFrame) -> DataFrame:
+    """Staged lines with their three labels as the one number ``_labels``."""
+    return _pack_labels(staged)
+
+
+def unpack_labels(packed: DataFrame) -> DataFrame:
+    return packed.withColumns({name: _unpacked(name) for name in _LABELS}).drop("_labels")
+
+
 def _unpacked(name: str) -> Column:
     if name not in _LABELS:
         return F.col(name)

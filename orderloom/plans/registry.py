@@ -161,8 +161,8 @@ def scan_cart_items_inferred(spark, sf_dir):
 
 def export_sales_parquet(spark, sf_dir):
     """K1: export year/month partitioned Parquet, return the table read back."""
-    path = scratch_path(spark, "sales_parquet")
-    sinks.export_sales_parquet(_sales(spark, sf_dir), path)
+    wh, path = staged(spark, sf_dir), scratch_path(spark, "sales_parquet")
+    sinks.export_sales_parquet(wh.packed_sales, path, unpacked=wh.unpacked_sales)
     return sources.read_sales_parquet(spark, path)
 
 

@@ -155,7 +155,7 @@ class StagedWarehouse(Warehouse):
 
     @cached_property
     def _view(self) -> tuple[DataFrame, bool]:
-        """The view, and whether it has a shuffle."""
+        """The lines of the view, without its amounts, and whether they have a shuffle."""
         lines, shuffled = self.accepted_orders, False
         for keyed, whole, key, names in ((star.of_customers, lambda: self.customers, "customer_id", star.CUSTOMER_NAMES),
                                          (star.of_products, lambda: self.products, "product_id", star.PRODUCT_NAMES)):
@@ -168,17 +168,26 @@ class StagedWarehouse(Warehouse):
                     continue
             shuffled = True
             lines = join_dimension(lines.drop(*names), whole(), key, counted=self.accepted_orders)
-        return star.line_amounts(lines).select(*ENRICHED_COLUMNS), shuffled
+        return lines, shuffled
 
     @cached_property
     def sales_enriched(self) -> DataFrame:
-        return self._view[0]
+        return star.line_amounts(self._view[0]).select(*ENRICHED_COLUMNS)
+
+    @property
+    def packed_sales(self) -> DataFrame:
+        """What a shuffle of the view needs to move: ``unpacked_sales`` makes the view of it."""
+        own = [c for c in ENRICHED_COLUMNS if c in self._view[0].columns]
+        return cleaning.pack_labels(self._view[0].select(*own))
+
+    @staticmethod
+    def unpacked_sales(packed: DataFrame) -> DataFrame:
+        return star.line_amounts(cleaning.unpack_labels(packed)).select(*ENRICHED_COLUMNS)
 
     @cached_property
     def stored_sales(self) -> DataFrame:
         """For jobs that read the view more than once: written once if it has a shuffle, else read from the staged lines."""
-        view, shuffled = self._view
-        return self._stored("sales_enriched", view) if shuffled else view
+        return self._stored("sales_enriched", self.sales_enriched) if self._view[1] else self.sales_enriched
 
 
 def _write(df: DataFrame, path: str) -> None:

@@ -105,3 +105,24 @@ def test_cart_items_are_landed_compressed_and_their_types_found_once_per_value(s
         assert r.bits == sum(1 << i for i in range(len(kinds)) if r[f"k{i}"]), r
     rows = spark.createDataFrame([("1", "a", "2024-01-02", "1", None), ("2.5", "1", "2024-01-02 03:04", None, None)], "a string, b string, c string, d string, e string")
     assert infer.infer_types(rows) == {"a": "double", "b": "string", "c": "timestamp_ntz", "d": "bigint", "e": "string"}
+
+
+def test_the_export_moves_labels_as_a_number_and_no_amounts(spark, tmp_path):
+    from orderloom.plans import registry
+    from orderloom.sinks import files as sinks
+
+    raw = spark.createDataFrame([_line(n, customer_segment=["consumer", "?", None][n % 3], region=["north", "", "WEST"][n % 3], unit_price="5.555")
+                                 for n in range(30)], RAW_ORDERS)
+    wh = StagedWarehouse(raw)
+    assert not {"gross_amount", "net_revenue", "region", "customer_segment", "sales_channel"} & {*wh.packed_sales.columns}
+    sinks.export_sales_parquet(wh.packed_sales, str(tmp_path / "a"), unpacked=wh.unpacked_sales)
+    sinks.export_sales_parquet(wh.sales_enriched, str(tmp_path / "b"))
+    a, b = (spark.read.parquet(str(tmp_path / x)) for x in "ab")
+    assert a.columns == b.columns and sorted(map(repr, a.collect())) == sorted(map(repr, b.collect())) and a.count() == 30
+    given = {}
+    own, sinks.export_sales_parquet = sinks.export_sales_parquet, lambda *a, **k: given.update(columns=a[0].columns) or own(*a, **k)
+    try:
+        registry.export_sales_parquet(spark, SF_SMALL)
+    finally:
+        sinks.export_sales_parquet = own
+    assert "_labels" in given["columns"] and "net_revenue" not in given["columns"]
